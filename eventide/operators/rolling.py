@@ -54,29 +54,30 @@ def rolling_max(df, key, field="temperature", ts="ts", seq="seq", chunk=None):
     return _rolling_keep_first(df, _keys(key), field, ts, seq, "max", chunk)
 
 
-def _rolling_by(df, keys, field, ts, seq, kind, chunk):
+def _rolling_by(df, keys, field, ts, seq, kind, chunk, current=()):
     """``minBy``/``maxBy``: the whole row holding the extreme so far; on a
-    tie the earlier row stays."""
-    others = [c for c in df.columns if c != field]
+    tie the earlier row stays.  Columns in ``current`` keep the value of
+    the row being processed (e.g. an arrival id)."""
+    carried = [c for c in df.columns if c not in current]
     if kind == "min":
         probe = F.struct(F.col(field).alias("v"), F.col(ts).alias("t"), F.col(seq).alias("s"),
-                         F.struct(*[F.col(c) for c in df.columns]).alias("row"))
+                         F.struct(*[F.col(c) for c in carried]).alias("row"))
     else:  # earliest row wins ties: order by -ts, -seq inside the max
         probe = F.struct(F.col(field).alias("v"),
                          (-F.unix_micros(F.col(ts).cast("timestamp"))).alias("t"),
                          (-F.col(seq)).alias("s"),
-                         F.struct(*[F.col(c) for c in df.columns]).alias("row"))
+                         F.struct(*[F.col(c) for c in carried]).alias("row"))
     r = scan(df, keys, ts, [seq], [Scan("__by", kind, probe)], chunk=chunk)
-    del others
-    return r.select(*[F.col(f"__by.row.{c}").alias(c) for c in df.columns])
+    return r.select(*[F.col(c) if c in current else F.col(f"__by.row.{c}").alias(c)
+                      for c in df.columns])
 
 
-def rolling_min_by(df, key, field="temperature", ts="ts", seq="seq", chunk=None):
-    return _rolling_by(df, _keys(key), field, ts, seq, "min", chunk)
+def rolling_min_by(df, key, field="temperature", ts="ts", seq="seq", chunk=None, current=()):
+    return _rolling_by(df, _keys(key), field, ts, seq, "min", chunk, tuple(current))
 
 
-def rolling_max_by(df, key, field="temperature", ts="ts", seq="seq", chunk=None):
-    return _rolling_by(df, _keys(key), field, ts, seq, "max", chunk)
+def rolling_max_by(df, key, field="temperature", ts="ts", seq="seq", chunk=None, current=()):
+    return _rolling_by(df, _keys(key), field, ts, seq, "max", chunk, tuple(current))
 
 
 def rolling_reduce_min_latest(df, key, field="temperature", ts="ts", seq="seq", chunk=None):
