@@ -171,5 +171,4 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
     carry = (base.groupBy(*part).agg(*chunk_aggs)
              .select(*part, *carry_cols))
     joined = _null_safe_join(local, carry, part)
-    internal = [c for c in joined.columns if c.startswith("__")]
-    return joined.select(*[c for c in df.columns], *finals).drop(*[c for c in internal if c in df.columns])
+    return joined.select(*[c for c in df.columns], *finals)

@@ -27,7 +27,8 @@ def text_lines(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()
 
 
 def parse_readings(lines: DataFrame, value_col: str = "value",
-                   epoch_unit: str = "seconds", strict: bool = True) -> DataFrame:
+                   epoch_unit: str = "seconds", strict: bool = True,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
     """``"id,epoch,temperature"`` lines → ``(id, ts, temperature)``.
 
     Whitespace around fields is kept off; with ``strict`` a bad number fails
@@ -43,6 +44,7 @@ def parse_readings(lines: DataFrame, value_col: str = "value",
     else:
         raise ValueError(epoch_unit)
     return lines.select(
+        *keep,
         F.trim(parts.getItem(0)).alias("id"),
         ts.cast("timestamp_ntz").alias("ts"),
         cast(F.trim(parts.getItem(2)), "double").alias("temperature"),
