@@ -71,12 +71,14 @@ def f_to_c(c) -> Column:
 def java_split(c, sep: str = " ") -> Column:
     """Split like ``String.split(sep)`` on the JVM (limit 0): inner empty
     strings are kept, trailing empty strings are removed, and an empty
-    input gives one empty string.  ``sep`` is a literal, not a regex."""
+    input gives one empty string.  ``sep`` is a literal, not a regex.
+    Lines not ending in ``sep`` (the common case) take the plain split."""
     s = _col(c)
     esc = re.escape(sep)
     trimmed = F.regexp_replace(s, f"(?:{esc})+$", "")
     return (F.when(s == "", F.array(F.lit("")))
-            .when(trimmed == "", F.array().cast("array<string>"))
+            .when(~s.endswith(sep), F.split(s, esc, -1))
+            .when(F.length(trimmed) == 0, F.array().cast("array<string>"))
             .otherwise(F.split(trimmed, esc, -1)))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
 from eventide.operators.combine import asof_lookup
-from eventide.operators.scan import Scan, scan
+from eventide.operators.scan import Scan, resolve_chunk_us, scan
 
 
 def _keys(key) -> list[str]:
@@ -53,6 +53,7 @@ def threshold_alert(data: DataFrame, updates: DataFrame, key="id", field: str =
     adds ``threshold`` and ``diff`` (abs change) for rows above threshold.
     """
     keys = _keys(key)
+    chunk = resolve_chunk_us(data, ts, chunk)
     tagged = asof_lookup(data, updates, keys, ts, seq, ["threshold"], chunk=chunk)
     active = tagged.where(F.col("threshold").isNotNull() & (F.col("threshold") != 0.0))
     s = scan(active, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk)
@@ -88,42 +89,46 @@ def fire_alert(data: DataFrame, smoke: DataFrame, threshold: float = 100.0,
 # ------------------------------------------------------------ rising alert
 
 def _rising_replay(batches, interval_us: int, nkeys: int):
-    """Replay the rise/timer logic over partitions sorted by (key, run, t,
-    seq).  A run = rows from a falling row (or the key's first row) up to
-    the next falling row; every run starts with no timer.  State is carried
-    across Arrow batches of the partition.  Emits each fired timer and the
-    timer still pending at the end of a run (``pending``), which the caller
-    validates against the next run's first timestamp."""
-    cur, timer, last = None, None, None
+    """Replay the rise/timer logic over partitions sorted by (key, run,
+    term, t, seq).  A run = rows from a falling row (or the key's first
+    row) up to the next falling row, which closes the run as a terminator
+    copy: a timer due at or before it fires, then the fall cancels what is
+    left.  A run without terminator is the key's last: its pending timer
+    fires at end of input.  State is carried across Arrow batches."""
+    cur, timer, last, ended = None, None, None, False
     out_rows: list[tuple] = []
 
     def flush():
         if out_rows:
-            cols = [f"k{i}" for i in range(nkeys)] + ["__run", "alert_us", "pending"]
+            cols = [f"k{i}" for i in range(nkeys)] + ["__run", "alert_us"]
             yield pd.DataFrame(out_rows, columns=cols)
             out_rows.clear()
 
     for pdf in batches:
         keys = [pdf[f"k{i}"].tolist() for i in range(nkeys)]
         runs = pdf["__run"].tolist()
+        term = pdf["__term"].tolist()
         t = pdf["__t"].tolist()
         v = pdf["__v"].tolist()
         for i in range(len(t)):
             gk = tuple(k[i] for k in keys) + (runs[i],)
             if gk != cur:
-                if cur is not None and timer is not None:
-                    out_rows.append(cur + (timer, True))
-                cur, timer, last = gk, None, v[i]
+                if cur is not None and timer is not None and not ended:
+                    out_rows.append(cur + (timer,))
+                cur, timer, last, ended = gk, None, v[i], False
                 continue
             if timer is not None and timer <= t[i]:
-                out_rows.append(cur + (timer, False))
+                out_rows.append(cur + (timer,))
                 timer = None
+            if term[i]:
+                timer, ended = None, True
+                continue
             if v[i] > last and timer is None:
                 timer = t[i] + interval_us
             last = v[i]
         yield from flush()
-    if cur is not None and timer is not None:
-        out_rows.append(cur + (timer, True))
+    if cur is not None and timer is not None and not ended:
+        out_rows.append(cur + (timer,))
     yield from flush()
 
 
@@ -143,24 +148,25 @@ def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: s
     """
     keys = _keys(key)
     interval_us = parse_duration_us(interval)
-    s = scan(df, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk)
+    chunk = resolve_chunk_us(df, ts, chunk)
+    s = scan(df, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk, keep_chunk=True)
     s = s.withColumn("__fall", F.when(F.col(field) < F.col("__prev"), 1).otherwise(0))
     s = scan(s, keys, ts, [seq], [Scan("__run", "sum", "__fall")], chunk=chunk)
+    # a falling row starts run r and also closes run r - 1 (terminator copy)
+    copies = F.when(F.col("__fall") == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     runs = s.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "__run",
                     epoch_micros(ts).alias("__t"), F.col(seq).alias("__s"),
-                    F.col(field).cast("double").alias("__v"))
+                    F.col(field).cast("double").alias("__v"), F.explode(copies).alias("__term"))
+    runs = runs.withColumn("__run", F.when(F.col("__term"), F.col("__run") - 1).otherwise(F.col("__run")))
     kcols = [f"k{i}" for i in range(len(keys))]
     ktypes = ", ".join(f"{k} {runs.schema[k].dataType.simpleString()}" for k in kcols)
-    schema = f"{ktypes}, __run long, alert_us long, pending boolean"
+    schema = f"{ktypes}, __run long, alert_us long"
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = runs.repartition(n, *kcols, "__run").sortWithinPartitions(*kcols, "__run", "__t", "__s")
+    ordered = (runs.repartition(n, *kcols, "__run")
+               .sortWithinPartitions(*kcols, "__run", "__term", "__t", "__s"))
     out = ordered.mapInPandas(lambda it: _rising_replay(it, interval_us, len(keys)), schema)
-    starts = (runs.groupBy(*kcols, "__run").agg(F.min("__t").alias("__next_start"))
-              .withColumn("__run", F.col("__run") - 1))
-    j = out.join(starts, kcols + ["__run"], "left")
-    ok = (~F.col("pending")) | F.col("__next_start").isNull() | (F.col("__next_start") >= F.col("alert_us"))
-    return j.where(ok).select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)],
-                              from_epoch_micros("alert_us").alias("alert_ts"))
+    return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)],
+                      from_epoch_micros("alert_us").alias("alert_ts"))
 
 
 def runs_of(df: DataFrame, key, cond: Column, ts: str = "ts", seq: str = "seq", chunk=None) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.operators.scan import Scan, scan
+from eventide.operators.scan import Scan, resolve_chunk_us, scan
 
 
 def _keys(key) -> list[str]:
@@ -106,7 +106,8 @@ def rolling_count_if(df, key, cond: Column, ts="ts", seq="seq", out="count",
     """Count of rows matching ``cond`` so far per key, and optionally over
     the whole input (one global order), both as chunked scans."""
     flag = F.when(cond, F.lit(1)).otherwise(F.lit(0))
+    global_chunk = resolve_chunk_us(df, ts, chunk, 1.0) if overall_out else None
     r = scan(df, _keys(key), ts, [seq], [Scan(out, "sum", flag)], chunk=chunk)
     if overall_out:
-        r = scan(r, [], ts, [seq], [Scan(overall_out, "sum", flag)], chunk=chunk)
+        r = scan(r, [], ts, [seq], [Scan(overall_out, "sum", flag)], chunk=global_chunk)
     return r

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,25 +83,25 @@ def chunk_col(ts: str, chunk_us: int) -> Column:
     return F.floor(epoch_micros(ts) / F.lit(chunk_us)).cast("long")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols],
-                     *[c for c in right.columns if c not in cols])
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(c).eqNullSafe(F.col(f"__r_{c}")) for c in cols])
-    out = left.join(r, cond, "left")
-    return out.drop(*[f"__r_{c}" for c in cols])
-
-
 def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
-         specs: list[Scan], chunk=None, chunk_us: int | None = None) -> DataFrame:
+         specs: list[Scan], chunk=None, chunk_us: int | None = None,
+         keep_chunk: bool = False) -> DataFrame:
     """Add one column per :class:`Scan`, computed in ``(ts, *tiebreak)``
-    order within each key (``keys`` may be empty: one global order)."""
-    if chunk_us is None:
-        chunk_us = resolve_chunk_us(df, ts, chunk, HOT_KEY_SHARE if keys else 1.0)
+    order within each key (``keys`` may be empty: one global order).
+
+    Keys must not be NULL (as for any keyed stream).  With ``keep_chunk``
+    the ``__chunk`` column stays on the output, and a following scan over
+    the same keys reuses it, so its window needs no new shuffle.
+    """
     order = [F.col(ts)] + [F.col(t) for t in tiebreak]
     ord_struct = F.struct(*order)
     part = list(keys) + ["__chunk"]
-    base = df.withColumn("__chunk", chunk_col(ts, chunk_us))
+    if "__chunk" in df.columns:
+        base = df
+    else:
+        if chunk_us is None:
+            chunk_us = resolve_chunk_us(df, ts, chunk, HOT_KEY_SHARE if keys else 1.0)
+        base = df.withColumn("__chunk", chunk_col(ts, chunk_us))
 
     w_local = Window.partitionBy(*part).orderBy(*order)
     w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -170,5 +169,8 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
     local = base.select("*", *local_cols)
     carry = (base.groupBy(*part).agg(*chunk_aggs)
              .select(*part, *carry_cols))
-    joined = _null_safe_join(local, carry, part)
-    return joined.select(*[c for c in df.columns], *finals)
+    # equi-join on (key, chunk): the big side is already hash-partitioned on
+    # exactly these columns by its window, so only the carry table moves
+    joined = local.join(carry, part, "left")
+    out_cols = [c for c in df.columns if c != "__chunk"] + (["__chunk"] if keep_chunk else [])
+    return joined.select(*out_cols, *finals)

@@ -147,6 +147,7 @@ def merge_intervals(df: DataFrame, key, start: str, end: str, aggs: list[Column]
     that overlap or touch merge.  Gaps-and-islands over a chunked scan of
     the running maximum end."""
     keys = _keys(key)
+    chunk = resolve_chunk_us(df, start, chunk)
     s = scan(df, keys, start, [seq], [Scan("__maxend", "max_excl", F.col(end))], chunk=chunk)
     s = s.withColumn("__new", F.when(F.col("__maxend").isNull() | (F.col(start) > F.col("__maxend")), 1)
                      .otherwise(0))

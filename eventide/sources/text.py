@@ -20,10 +20,13 @@ def text_lines(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ()
     """Cut a text column into lines the way a line-oriented file reader
     does: split on ``\\n``, drop one trailing ``\\r``, and no empty record
     after a final newline."""
-    body = F.regexp_replace(F.col(text_col), r"\n$", "")
+    t = F.col(text_col)
+    body = F.when(t.endswith("\n"), F.expr(f"substring(`{text_col}`, 1, length(`{text_col}`) - 1)")).otherwise(t)
     lines = F.split(body, "\n", -1)
     out = df.select(*[F.col(k) for k in keep], F.posexplode(lines).alias("line_no", "line"))
-    return out.withColumn("line", F.regexp_replace("line", r"\r$", ""))
+    line = F.col("line")
+    return out.withColumn("line", F.when(line.endswith("\r"), F.expr("substring(line, 1, length(line) - 1)"))
+                          .otherwise(line))
 
 
 def parse_readings(lines: DataFrame, value_col: str = "value",
