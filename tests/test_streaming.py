@@ -174,3 +174,44 @@ def test_restart_no_loss_no_dup(spark):
     from eventide.sinks.upsert import latest_per_key
     want = latest_per_key(r, ["id"], ["ts", "seq"])
     assert _rows(latest, ["id", "seq"]) == _rows(want, ["id", "seq"])
+
+
+def _tagged_union(spark, r, ev_types, ctrl_expr):
+    """Tagged union of readings (side 1) and control rows (side 0) with the
+    control value carried in ``temperature``."""
+    data = r.where(F.col("event_type") != "signup").select("id", "ts", "temperature", "seq",
+                                                            F.lit(1).alias("side"))
+    ctrl = r.where(F.col("event_type") == "signup").select("id", "ts", ctrl_expr.alias("temperature"), "seq",
+                                                           F.lit(0).alias("side"))
+    return data.unionByName(ctrl)
+
+
+def _typed_readings(spark):
+    r = events(spark, SF001, keep=("event_type",))
+    return r.select(F.col("id").cast("string").alias("id"), "ts", "temperature", "seq", "event_type")
+
+
+def test_threshold_stream_equals_batch(spark):
+    r = _typed_readings(spark)
+    u = _tagged_union(spark, r, None, F.floor(F.col("temperature") / 100) * 50.0)
+    folder = _stage(spark, u, 4)
+    s = readings_stream(spark, folder, u.schema)
+    got = _run(P.apply(s, P.ThresholdAlert(), time_mode="None"), "thr_stream")
+    data = u.where("side = 1").drop("side")
+    upd = u.where("side = 0").select("id", "ts", "seq", F.col("temperature").alias("threshold"))
+    want = A.threshold_alert(data, upd, "id")
+    assert _rows(got, ["id", "seq", "threshold"]) == _rows(want, ["id", "seq", "threshold"])
+
+
+def test_switch_stream_equals_batch(spark):
+    r = _typed_readings(spark)
+    u = _tagged_union(spark, r, None, F.round(F.col("temperature") * 60_000))  # minutes → ms
+    folder = _stage(spark, _with_marker(spark, u.drop("side")).join(
+        u.select("seq", "side"), "seq", "left").fillna({"side": 1}), 4)
+    sch = u.schema
+    s = readings_stream(spark, folder, sch).withWatermark("ts", "0 seconds")
+    got = _run(P.apply(s, P.SwitchFilter()), "switch_stream").where(F.col("id") != "__end__")
+    data = u.where("side = 1").drop("side")
+    sw = u.where("side = 0").select("id", "ts", "seq", (F.col("temperature") * 1000).cast("long").alias("duration_us"))
+    want = A.switch_filter(data, sw, "id")
+    assert _rows(got, ["id", "seq"]) == _rows(want, ["id", "seq"])
