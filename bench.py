@@ -2,8 +2,9 @@
 local[$BENCH_CPUS] and print one JSON line.
 
 Each query is executed in full through the ``noop`` sink (the whole plan
-runs, nothing is collected to the driver).  A warm-up run of the flagship
-query absorbs JVM/Python start-up.
+runs, nothing is collected to the driver).  A warm-up pass runs every query
+once on the smallest scale factor (JIT, generated-code cache, Python
+workers), then each query is timed once at ``$BENCH_SF_DIR``.
 """
 
 from __future__ import annotations
@@ -26,7 +27,15 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", app="eventide-bench", shuffle_partitions=int(cpus))
     qs = spark_queries()
     names = only or sorted(qs)
-    qs["win_tumbling_avg"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    warm_dir = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
+    if os.environ.get("BENCH_WARMUP", "1") == "1" and os.path.isdir(warm_dir):
+        for name in names:
+            try:
+                qs[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+            except Exception:  # noqa: BLE001 - reported by the timed run
+                pass
+    else:
+        qs["win_tumbling_avg"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     failed: dict[str, str] = {}
     for name in names:

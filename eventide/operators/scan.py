@@ -27,6 +27,10 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, parse_duration_us
 
+_STATS_CACHE: dict = {}
+# Chunk width meaning "the whole order is one chunk": no carry is needed.
+SINGLE_CHUNK = 0
+
 CHUNK_CONF = "eventide.scan.chunk"
 TARGET_ROWS_CONF = "eventide.scan.targetRowsPerChunk"
 DEFAULT_TARGET_ROWS = 4_000_000
@@ -67,19 +71,29 @@ def resolve_chunk_us(df: DataFrame, ts: str, chunk=None, share: float = HOT_KEY_
     if chunk != "auto":
         return max(1, parse_duration_us(chunk))
     target = int(spark.conf.get(TARGET_ROWS_CONF, str(DEFAULT_TARGET_ROWS)))
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.min(epoch_micros(ts)).alias("lo"),
-                 F.max(epoch_micros(ts)).alias("hi")).first()
+    probe = df.agg(F.count(F.lit(1)).alias("n"), F.min(epoch_micros(ts)).alias("lo"),
+                   F.max(epoch_micros(ts)).alias("hi"))
+    # The width only sizes tasks (results never depend on it), so the stats
+    # of one input plan are computed once per session.
+    cache_key = (probe._jdf.queryExecution().analyzed().semanticHash(), target, share)
+    row = _STATS_CACHE.get(cache_key)
+    if row is None:
+        row = probe.first()
+        _STATS_CACHE[cache_key] = row
     if not row or row["n"] == 0 or row["lo"] is None:
         return 86_400_000_000
     span = row["hi"] - row["lo"] + 1
     n_chunks = max(1, math.ceil(row["n"] * share / target))
+    if n_chunks == 1:
+        return SINGLE_CHUNK
     width = max(1_000_000, span // n_chunks)
     # round down to a power of two seconds so plans are stable across runs
     return 1_000_000 * (1 << int(math.log2(max(1, width // 1_000_000))))
 
 
 def chunk_col(ts: str, chunk_us: int) -> Column:
+    if chunk_us == SINGLE_CHUNK:
+        return F.lit(0).cast("long")
     return F.floor(epoch_micros(ts) / F.lit(chunk_us)).cast("long")
 
 
@@ -96,12 +110,15 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
     order = [F.col(ts)] + [F.col(t) for t in tiebreak]
     ord_struct = F.struct(*order)
     part = list(keys) + ["__chunk"]
+    single = False
     if "__chunk" in df.columns:
         base = df
+        single = bool(df.schema["__chunk"].metadata.get("single"))
     else:
         if chunk_us is None:
             chunk_us = resolve_chunk_us(df, ts, chunk, HOT_KEY_SHARE if keys else 1.0)
-        base = df.withColumn("__chunk", chunk_col(ts, chunk_us))
+        single = chunk_us == SINGLE_CHUNK
+        base = df.withColumn("__chunk", chunk_col(ts, chunk_us).alias("__chunk", metadata={"single": single}))
 
     w_local = Window.partitionBy(*part).orderBy(*order)
     w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -167,10 +184,13 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
         finals.append(fin.alias(s.name))
 
     local = base.select("*", *local_cols)
+    out_cols = [c for c in df.columns if c != "__chunk"] + (["__chunk"] if keep_chunk else [])
+    if single:
+        # one chunk per key: nothing to carry, every result is the local one
+        return local.select(*out_cols, *[F.col(f"__l_{s.name}").alias(s.name) for s in specs])
     carry = (base.groupBy(*part).agg(*chunk_aggs)
              .select(*part, *carry_cols))
     # equi-join on (key, chunk): the big side is already hash-partitioned on
     # exactly these columns by its window, so only the carry table moves
     joined = local.join(carry, part, "left")
-    out_cols = [c for c in df.columns if c != "__chunk"] + (["__chunk"] if keep_chunk else [])
     return joined.select(*out_cols, *finals)
