@@ -68,6 +68,8 @@ def resolve_chunk_us(df: DataFrame, ts: str, chunk=None, share: float = HOT_KEY_
     spark = df.sparkSession
     if chunk is None:
         chunk = spark.conf.get(CHUNK_CONF, "auto")
+    if isinstance(chunk, int):  # already resolved (SINGLE_CHUNK = 0 included)
+        return chunk
     if chunk != "auto":
         return max(1, parse_duration_us(chunk))
     target = int(spark.conf.get(TARGET_ROWS_CONF, str(DEFAULT_TARGET_ROWS)))

@@ -148,7 +148,8 @@ def merge_intervals(df: DataFrame, key, start: str, end: str, aggs: list[Column]
     the running maximum end."""
     keys = _keys(key)
     chunk = resolve_chunk_us(df, start, chunk)
-    s = scan(df, keys, start, [seq], [Scan("__maxend", "max_excl", F.col(end))], chunk=chunk)
+    s = scan(df, keys, start, [seq], [Scan("__maxend", "max_excl", F.col(end))], chunk=chunk,
+             keep_chunk=True)
     s = s.withColumn("__new", F.when(F.col("__maxend").isNull() | (F.col(start) > F.col("__maxend")), 1)
                      .otherwise(0))
     s = scan(s, keys, start, [seq], [Scan("__gid", "sum", F.col("__new"))], chunk=chunk)
