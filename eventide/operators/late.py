@@ -52,21 +52,27 @@ def window_lateness(df: DataFrame, key, ts: str, arrival: str, seq: str, delay:
 def lateness_firings(tagged: DataFrame, key, arrival: str, seq: str) -> DataFrame:
     """Firings of windows under allowed lateness: one ``first`` firing with
     the on-time rows, then one ``update`` per allowed-late row (count so
-    far).  Output: keys, window_end, firing, cnt, kind."""
+    far).  Output: keys, window_end, firing, cnt, kind.
+
+    On-time rows are only counted (partial aggregation); late rows are
+    ranked per window; the two are combined through a small window over
+    their union instead of a join, so ``tagged`` is consumed twice.
+    """
     keys = [key] if isinstance(key, str) else list(key or [])
     on = keys + ["window_start", "window_end"]
     first = (tagged.where(F.col("fate") == "on_time").groupBy(*on)
-             .agg(F.count(F.lit(1)).alias("__n0")))
-    late = tagged.where(F.col("fate") == "late_allowed")
+             .agg(F.count(F.lit(1)).alias("__n0"))
+             .select(*on, "__n0", F.lit(0).alias("__k")))
     wl = Window.partitionBy(*on).orderBy(arrival, seq)
-    late = late.withColumn("firing", F.row_number().over(wl))
+    late = (tagged.where(F.col("fate") == "late_allowed")
+            .select(*on, F.lit(None).cast("long").alias("__n0"), F.row_number().over(wl).alias("__k")))
+    u = first.unionByName(late)
+    u = u.withColumn("__n0w", F.max("__n0").over(Window.partitionBy(*on)))
+    had = F.col("__n0w").isNotNull()
+    k = F.col("__k")
     # a window whose first row is already late fires first on that row
-    had = F.col("__n0").isNotNull()
-    upd = late.join(first, on, "left").select(
+    return u.select(
         *keys, "window_end",
-        F.when(had, F.col("firing")).otherwise(F.col("firing") - 1).alias("firing"),
-        (F.coalesce(F.col("__n0"), F.lit(0)) + F.col("firing")).alias("cnt"),
-        F.when(had | (F.col("firing") > 1), "update").otherwise("first").alias("kind"))
-    fst = first.select(*keys, "window_end", F.lit(0).alias("firing"), F.col("__n0").alias("cnt"),
-                       F.lit("first").alias("kind"))
-    return fst.unionByName(upd)
+        F.when(had | (k == 0), k).otherwise(k - 1).alias("firing"),
+        (F.coalesce(F.col("__n0w"), F.lit(0)) + k).alias("cnt"),
+        F.when(k == 0, "first").when(had | (k > 1), "update").otherwise("first").alias("kind"))

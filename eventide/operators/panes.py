@@ -37,23 +37,27 @@ def early_firing_counts(df: DataFrame, key, ts: str, size: str, every: str,
         raise ValueError("window size must be a multiple of the firing interval")
     w = window_rows(df, ts, size).withColumn("__t", epoch_micros(ts))
     on = keys + ["window_start", "window_end"]
+    # one partial row per (key, window, tick bucket): the only pass over rows
     per_tick = (w.withColumn("__b", F.floor(F.col("__t") / every_us).cast("long"))
                 .groupBy(*on, "__b").agg(F.count(F.lit(1)).alias("__n"), F.sum(value).alias("__s")))
-    win = per_tick.groupBy(*on).agg(F.min("__b").alias("__b0"), F.sum("__n").alias("cnt"),
-                                    F.sum("__s").alias("sum_value"))
+    wb = Window.partitionBy(*on).orderBy("__b")
+    run = wb.rowsBetween(Window.unboundedPreceding, 0)
+    t = per_tick.select(*on, "__b", F.sum("__n").over(run).alias("cnt"),
+                        F.sum("__s").over(run).alias("sum_value"), F.lead("__b").over(wb).alias("__next"))
     end_idx = (epoch_micros("window_end") / every_us).cast("long")
-    ticks = win.select(*on, F.explode(F.sequence(F.col("__b0") + 1, end_idx)).alias("__k"))
-    # bucket k-1 is the last one before tick k; empty buckets contribute 0
-    joined = ticks.join(per_tick.withColumn("__k", F.col("__b") + 1).drop("__b"), on + ["__k"], "left")
-    wt = Window.partitionBy(*on).orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
-    panes = joined.select(*on, "__k", F.sum(F.coalesce("__n", F.lit(0))).over(wt).alias("cnt"),
-                          F.sum("__s").over(wt).alias("sum_value"))
-    early = panes.where(F.col("__k") < end_idx).select(
-        *keys, "window_end", from_epoch_micros(F.col("__k") * every_us).alias("pane_ts"),
-        "cnt", "sum_value", F.lit(False).alias("is_final"))
-    final = win.select(*keys, "window_end", F.col("window_end").alias("pane_ts"), "cnt", "sum_value",
-                       F.lit(True).alias("is_final"))
-    return early.unionByName(final)
+    # bucket b answers every tick from b + 1 up to the next non-empty bucket
+    # (or the last tick before the end); the last bucket also gives the final pane
+    hi = F.coalesce(F.col("__next"), end_idx - 1)
+    ticks = F.when(F.col("__b") + 1 <= hi, F.sequence(F.col("__b") + 1, hi)).otherwise(
+        F.array().cast("array<bigint>"))
+    early = F.transform(ticks, lambda k: F.struct(
+        from_epoch_micros(k * every_us).alias("pane_ts"), F.lit(False).alias("is_final")))
+    final = F.when(F.col("__next").isNull(), F.array(F.struct(
+        F.col("window_end").alias("pane_ts"), F.lit(True).alias("is_final")))).otherwise(
+        F.array().cast("array<struct<pane_ts:timestamp_ntz,is_final:boolean>>"))
+    panes = t.select(*keys, "window_end", "cnt", "sum_value",
+                     F.explode(F.concat(early, final)).alias("__p"))
+    return panes.select(*keys, "window_end", "__p.pane_ts", "cnt", "sum_value", "__p.is_final")
 
 
 def trigger_panes(df: DataFrame, key, cond: Column, aggs: list[Column], ts: str = "ts",
