@@ -215,3 +215,39 @@ def test_switch_stream_equals_batch(spark):
     sw = u.where("side = 0").select("id", "ts", "seq", (F.col("temperature") * 1000).cast("long").alias("duration_us"))
     want = A.switch_filter(data, sw, "id")
     assert _rows(got, ["id", "seq"]) == _rows(want, ["id", "seq"])
+
+
+def test_word_count_stream(spark):
+    from conftest import WORD_LINES
+    from eventide.streaming.jobs import word_counts
+    root = _fresh()
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    for i, chunk in enumerate([WORD_LINES[:3], WORD_LINES[3:]]):
+        with open(os.path.join(src, f"part-{i}.txt"), "w") as f:
+            f.write("\n".join(chunk) + "\n")
+    lines = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(src)
+    got = _run(word_counts(lines), "wc_stream", mode="complete")
+    assert {r["word"]: r["cnt"] for r in got.collect()} == {
+        "hello": 3, "you": 3, "are": 1, "and": 1, "fine": 1, "flink": 1, "how": 1, "scala": 1,
+        "thank": 1, "world": 1}
+
+
+def test_window_average_job(spark):
+    """Flagship streaming job on the sample file's sensor readings (15 s
+    windows, 3 s bound): windows closed by the last reading."""
+    from conftest import SENSOR_LINES
+    from eventide.sources.text import parse_readings
+    from eventide.streaming.jobs import window_average
+    root = _fresh()
+    src = os.path.join(root, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "sensors.txt"), "w") as f:
+        f.write("\n".join(SENSOR_LINES) + "\n")
+    lines = spark.readStream.format("text").load(src)
+    readings = parse_readings(lines).withColumn("ts", F.col("ts").cast("timestamp"))
+    got = _run(window_average(readings, "15 seconds", "3 seconds"), "flagship_stream")
+    rows = {(r["id"], str(r["window_end"])): r["avg_temp_c"] for r in got.collect()}
+    # sensor_1 readings 199..213 fall into [195, 210) and [210, 225); 319 closes both
+    assert rows[("sensor_1", "2019-01-17 09:43:30")] == round(((35.8 + 32 + 36.2) / 3 - 32) * 5 / 9, 6)
+    assert ("sensor_1", "2019-01-17 09:45:30") not in rows  # still open at end of input
