@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
-from eventide.operators.scan import Scan, chunk_col, resolve_chunk_us, scan
+from eventide.operators.scan import SINGLE_CHUNK, Scan, chunk_col, resolve_chunk_us, scan
 
 
 def _keys(key) -> list[str]:
@@ -112,6 +112,14 @@ def sessions(df: DataFrame, key, ts: str, gap: str, aggs: list[Column],
              .withColumn("__k", F.sum("__flag").over(w_all))
              .withColumn("__first", F.min("__t").over(w_all))
              .withColumn("__last", F.max("__t").over(w_all)))
+    if chunk_us == SINGLE_CHUNK:
+        # one chunk per key: local session numbers are final
+        joined = local.withColumn("__sid", F.col("__lidx"))
+        out = joined.groupBy(*keys, "__sid").agg(
+            F.min("__t").alias("__ws"), (F.max("__t") + F.lit(gap_us)).alias("__we"), *aggs)
+        return (out.withColumn("window_start", from_epoch_micros("__ws"))
+                   .withColumn("window_end", from_epoch_micros("__we"))
+                   .drop("__sid", "__ws", "__we"))
     summary = local.groupBy(*part).agg(F.first("__k").alias("__k"),
                                        F.first("__first").alias("__first"),
                                        F.first("__last").alias("__last"))
