@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventide.session import fs_exists, fs_list_dirs
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the one latest by ``order`` (partial aggregation via
@@ -31,27 +31,25 @@ class KeyedSnapshot:
     def __init__(self, path: str, keys: list[str], order: list[str]):
         self.path, self.keys, self.order = path, keys, order
 
-    def _versions(self) -> list[int]:
-        if not os.path.isdir(self.path):
-            return []
+    def _versions(self, spark) -> list[int]:
         out = []
-        for d in os.listdir(self.path):
-            if d.startswith("v=") and os.path.exists(os.path.join(self.path, d, "_SUCCESS")):
+        for d in fs_list_dirs(spark, self.path):
+            if d.startswith("v=") and fs_exists(spark, f"{self.path}/{d}/_SUCCESS"):
                 out.append(int(d[2:]))
         return sorted(out)
 
     def read(self, spark, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self._versions() if before is None or v < before]
+        vs = [v for v in self._versions(spark) if before is None or v < before]
         if not vs:
             return None
-        return spark.read.parquet(os.path.join(self.path, f"v={vs[-1]}"))
+        return spark.read.parquet(f"{self.path}/v={vs[-1]}")
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         new = latest_per_key(batch, self.keys, self.order)
         old = self.read(spark, before=batch_id)
         merged = new if old is None else latest_per_key(old.unionByName(new), self.keys, self.order)
-        merged.write.mode("overwrite").parquet(os.path.join(self.path, f"v={batch_id}"))
+        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         self.merge(batch, batch_id)

@@ -10,12 +10,11 @@ finds the same watermark and writes the same files.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, parse_duration_us
+from eventide.session import fs_exists
 
 
 class LateSplitter:
@@ -31,12 +30,9 @@ class LateSplitter:
         self.progress_path = progress_path
 
     def _watermark_us(self, spark, batch_id: int):
-        if not os.path.exists(self.progress_path) and "://" not in self.progress_path:
-            return None
-        try:
-            prog = spark.read.parquet(self.progress_path)
-        except Exception:  # noqa: BLE001 - no progress written yet
+        if not fs_exists(spark, self.progress_path):
             return None
+        prog = spark.read.parquet(self.progress_path)
         row = prog.where(F.col("batch_id") < batch_id).agg(F.max("max_us").alias("m")).first()
         return None if row is None or row["m"] is None else row["m"] - self.delay_us
 
