@@ -251,3 +251,21 @@ def test_window_average_job(spark):
     # sensor_1 readings 199..213 fall into [195, 210) and [210, 225); 319 closes both
     assert rows[("sensor_1", "2019-01-17 09:43:30")] == round(((35.8 + 32 + 36.2) / 3 - 32) * 5 / 9, 6)
     assert ("sensor_1", "2019-01-17 09:45:30") not in rows  # still open at end of input
+
+
+def test_published_state_readable(spark):
+    """Queryable state: the latest value per sensor kept by the jump-alert
+    processor is read back from the query checkpoint."""
+    from eventide.sinks.upsert import read_state
+    r = _readings(spark)
+    folder = _stage(spark, r, 2)
+    ck = os.path.join(_fresh(), "ck")
+    s = readings_stream(spark, folder, r.schema)
+    q = start(P.apply(s, P.JumpAlert(10.0), time_mode="None"), "memory", name="jump_state",
+              checkpoint=ck, trigger={"availableNow": True})
+    run_until_done(q, 240)
+    st = read_state(spark, ck, state_var="last")
+    last = {r2["key"][0]: r2["value"][0] for r2 in st.collect()}
+    from eventide.sinks.upsert import latest_per_key
+    want = {x["id"]: x["temperature"] for x in latest_per_key(r, ["id"], ["ts", "seq"]).collect()}
+    assert last == want
