@@ -248,3 +248,19 @@ def win_median(spark, sf):
     r = events(spark, sf)
     out = W.window_agg(r, "id", "ts", "1 day", [F.median("temperature").alias("median_temp")])
     return out.select("id", "window_end", r6("median_temp").alias("median_temp"))
+
+
+@register("win_with_global_state", "WFN8 WFN6", f"""
+SELECT id, window_end, cnt, sum(cnt) OVER (PARTITION BY id ORDER BY window_end
+                                           ROWS UNBOUNDED PRECEDING) AS total
+FROM (SELECT user_id AS id, {_end_sql(6 * HOUR)} AS window_end, count(*) AS cnt
+      FROM events GROUP BY 1, 2)""")
+def win_with_global_state(spark, sf):
+    """Per-window count plus the sensor's running total over its windows
+    (per-window state and per-key global state of a window function)."""
+    from eventide.operators.scan import Scan, scan
+    r = events(spark, sf)
+    w = W.window_agg(r, "id", "ts", "6 hours", [F.count(F.lit(1)).alias("cnt")])
+    out = scan(w.select("id", "window_end", "cnt"), ["id"], "window_end", [],
+               [Scan("total", "sum", "cnt")])
+    return out.select("id", "window_end", "cnt", F.col("total").cast("long").alias("total"))

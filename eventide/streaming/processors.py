@@ -272,3 +272,43 @@ def apply(stream: DataFrame, processor: StatefulProcessor, key: str = "id",
 
 __all__ = ["JumpAlert", "RisingAlert", "ThresholdAlert", "SwitchFilter", "CountWindow", "RollingMin",
            "apply", "BooleanType", "StringType"]
+
+
+class WindowCountWithTotal(StatefulProcessor):
+    """Window function with per-window and per-key global state: counts
+    rows per tumbling window (map state keyed by window end), fires a
+    window when the watermark passes its end (event-time timer), and keeps
+    the key's running total over fired windows (value state)."""
+
+    OUTPUT = "id string, window_end_ms long, cnt long, total long"
+
+    def __init__(self, size_ms: int):
+        self.size = size_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.counts = handle.getMapState("counts", _L, _L)
+        self.total = handle.getValueState("total", _L)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in _ordered(rows):
+            end = (_ms(r.ts) // self.size + 1) * self.size
+            if self.counts.containsKey((end,)):
+                self.counts.updateValue((end,), (self.counts.getValue((end,))[0] + 1,))
+            else:
+                self.counts.updateValue((end,), (1,))
+                self.handle.registerTimer(end)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        end = expiredTimerInfo.getExpiryTimeInMs()
+        if not self.counts.containsKey((end,)):
+            return iter([])
+        cnt = self.counts.getValue((end,))[0]
+        self.counts.removeKey((end,))
+        total = (self.total.get()[0] if self.total.exists() else 0) + cnt
+        self.total.update((total,))
+        return iter([Row(id=str(key[0]), window_end_ms=end, cnt=cnt, total=total)])
+
+    def close(self) -> None:
+        pass

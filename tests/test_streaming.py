@@ -269,3 +269,16 @@ def test_published_state_readable(spark):
     from eventide.sinks.upsert import latest_per_key
     want = {x["id"]: x["temperature"] for x in latest_per_key(r, ["id"], ["ts", "seq"]).collect()}
     assert last == want
+
+
+def test_window_global_state_stream_equals_batch(spark):
+    from eventide.plans.catalog import spark_queries
+    r = _readings(spark)
+    folder = _stage(spark, _with_marker(spark, r), 4)
+    s = readings_stream(spark, folder, r.schema).withWatermark("ts", "0 seconds")
+    got = _run(P.apply(s, P.WindowCountWithTotal(6 * 3600 * 1000)), "wstate_stream").where(F.col("id") != "__end__")
+    got = got.select("id", F.timestamp_millis("window_end_ms").cast("timestamp_ntz").alias("window_end"),
+                     "cnt", "total")
+    want = spark_queries()["win_with_global_state"](spark, SF001).withColumn("id", F.col("id").cast("string"))
+    cols = ["id", "window_end", "cnt", "total"]
+    assert _rows(got, cols) == _rows(want, cols)
