@@ -94,3 +94,28 @@ def run_with_restarts(make_query: Callable[[], StreamingQuery], strategy=None,
             if not strategy.allow(failures):
                 raise
             sleep(strategy.delay_s)
+
+
+class BatchCommitted:
+    """Callback when a micro-batch (and its state/checkpoint) is committed:
+    ``on_commit(name, batch_id, watermark, rows)`` from the query's progress
+    events.  Register with ``spark.streams.addListener(...)``."""
+
+    def __new__(cls, on_commit):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        class _Listener(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                on_commit(p.name, p.batchId, (p.eventTime or {}).get("watermark"), p.numInputRows)
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        return _Listener()

@@ -282,3 +282,23 @@ def test_window_global_state_stream_equals_batch(spark):
     want = spark_queries()["win_with_global_state"](spark, SF001).withColumn("id", F.col("id").cast("string"))
     cols = ["id", "window_end", "cnt", "total"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_batch_commit_callback(spark):
+    import time
+    from eventide.streaming.runner import BatchCommitted
+    seen = []
+    listener = BatchCommitted(lambda name, bid, wm, n: seen.append((name, bid, n)))
+    spark.streams.addListener(listener)
+    try:
+        r = _readings(spark)
+        folder = _stage(spark, r, 3)
+        s = readings_stream(spark, folder, r.schema)
+        _run(s.select("id"), "commit_cb")
+        deadline = time.time() + 30
+        while time.time() < deadline and sum(n for name, _, n in seen if name == "commit_cb") < r.count():
+            time.sleep(0.5)
+    finally:
+        spark.streams.removeListener(listener)
+    mine = [(b, n) for name, b, n in seen if name == "commit_cb"]
+    assert sum(n for _, n in mine) == r.count() and len({b for b, _ in mine}) >= 3
