@@ -76,3 +76,22 @@ def lateness_firings(tagged: DataFrame, key, arrival: str, seq: str) -> DataFram
         F.when(had | (k == 0), k).otherwise(k - 1).alias("firing"),
         (F.coalesce(F.col("__n0w"), F.lit(0)) + k).alias("cnt"),
         F.when(k == 0, "first").when(had | (k > 1), "update").otherwise("first").alias("kind"))
+
+
+def backfill(published: DataFrame, late_rows: DataFrame, all_rows: DataFrame, key, ts: str,
+             size: str, aggs) -> DataFrame:
+    """Periodic back-fill: recompute only the windows the late rows touch
+    (over all rows of those windows) and merge them into the published
+    results, replacing the published row of each touched (key, window).
+
+    The touched-window list is a distinct projection of the late rows; the
+    recomputation is a semi-join of the rows on it, so the work grows with
+    the late data, not with the history."""
+    keys = [key] if isinstance(key, str) else list(key or [])
+    on = keys + ["window_end"]
+    touched = window_rows(late_rows, ts, size).select(*on).distinct()
+    rows = window_rows(all_rows, ts, size)
+    fixed = (rows.join(touched, on, "left_semi")
+             .groupBy(*keys, "window_start", "window_end").agg(*aggs).drop("window_start"))
+    kept = published.join(touched, on, "left_anti")
+    return kept.unionByName(fixed.select(*published.columns))
