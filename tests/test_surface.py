@@ -85,3 +85,20 @@ def test_restart_strategies():
     now = time.time()
     assert FailureRate(3, 300, 0).allow([now - 1000, now - 900, now - 10])
     assert not FailureRate(1, 300, 0).allow([now - 5, now - 1])
+
+
+def test_udaf_and_udtf(spark):
+    from conftest import WORD_LINES
+    from eventide.functions.udf import udaf, udtf_flat_map, word_splitter
+    spread = udaf(lambda v: float(v.max() - v.min()), "double")
+    ev = table(spark, SF001, "events")
+    got = {r["event_type"]: r["spread"] for r in
+           ev.groupBy("event_type").agg(spread(F.col("value")).alias("spread")).collect()}
+    want = {r["event_type"]: r["s"] for r in
+            ev.groupBy("event_type").agg((F.max("value") - F.min("value")).alias("s")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    lines = spark.createDataFrame([(x,) for x in WORD_LINES + ["a  b ", "   "]], "line string")
+    words = udtf_flat_map(lines, word_splitter(), F.col("line"))
+    from eventide.operators.transform import flat_map_split
+    assert sorted(r["word"] for r in words.collect()) == sorted(
+        r["word"] for r in flat_map_split(lines, "line").collect())
