@@ -302,3 +302,21 @@ def test_batch_commit_callback(spark):
         spark.streams.removeListener(listener)
     mine = [(b, n) for name, b, n in seen if name == "commit_cb"]
     assert sum(n for _, n in mine) == r.count() and len({b for b, _ in mine}) >= 3
+
+
+def test_punctuated_watermark(spark):
+    """Only marker rows (sensor 1) advance the clock."""
+    from eventide.operators.timecols import punctuated
+    root = _fresh()
+    src = os.path.join(root, "in")
+    rows = [("1", "2024-01-01 10:00:00", 1.0, 0), ("2", "2024-01-01 12:00:00", 2.0, 1),
+            ("2", "2024-01-01 13:00:00", 3.0, 2)]
+    df = spark.createDataFrame(rows, "id string, ts string, temperature double, seq long").withColumn(
+        "ts", F.col("ts").cast("timestamp_ntz"))
+    stage_replay(df, src, 2, ["ts", "seq"], file_of=F.when(F.col("seq") < 2, 0).otherwise(1))
+    s = readings_stream(spark, src, df.schema)
+    p = punctuated(s, "ts", F.col("id") == "1")
+    q = start(p.select("id", "marker_ts"), "memory", name="punct", trigger={"availableNow": True})
+    run_until_done(q, 120)
+    wms = [pr["eventTime"].get("watermark") for pr in q.recentProgress if pr["eventTime"].get("watermark")]
+    assert wms and wms[-1].startswith("2024-01-01T10:00:00")
