@@ -145,3 +145,16 @@ w AS (SELECT CASE WHEN line = '' THEN ['']
 SELECT word, count(*) AS cnt FROM (SELECT unnest(ws) AS word FROM w) GROUP BY word""")
 def word_count(spark, sf):
     return document_word_count(table(spark, sf, "documents"))
+
+
+@register("key_nested", "KEY3 KEY4 KEY2", r"""
+SELECT CAST(regexp_extract(props, '"k":\s*(-?\d+)', 1) AS INTEGER) AS props_k,
+       count(*) AS cnt, max(value) AS max_temp
+FROM events GROUP BY 1""")
+def key_nested(spark, sf):
+    """Key by a nested field: ``props`` parsed into a struct, grouped by
+    ``props.k``."""
+    from eventide.operators.keys import key_columns
+    ev = table(spark, sf, "events").select(F.from_json("props", "k int").alias("props"), "value")
+    k = key_columns(ev, "props.k")
+    return ev.groupBy(*k).agg(F.count(F.lit(1)).alias("cnt"), F.max("value").alias("max_temp"))

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     # Keyed streaming state lives in RocksDB so it can exceed executor heap;
     # transformWithState requires it.
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+    # commit only the changelog of each batch, not a full state snapshot
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
