@@ -89,3 +89,18 @@ def with_parallelism(df: DataFrame, n: int) -> DataFrame:
     """Per-step parallelism; the session default is
     ``spark.sql.shuffle.partitions``."""
     return df.repartition(n)
+
+
+SMALL_INPUT_BYTES = 1 << 30
+
+
+def spread_small_input(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
+    """Spread a *small* input over all cores before CPU-heavy row work (a
+    one-row-group parquet file is read by a single task).  Size-checked: an
+    input above ``limit`` is left alone, as large inputs come in many splits
+    and a redistribution would only add a full shuffle."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if estimated_bytes(df) <= limit and df.rdd.getNumPartitions() <= cores:
+        return df.repartition(cores)
+    return df
