@@ -13,8 +13,7 @@ from typing import Iterator
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import (BooleanType, DoubleType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 _D = StructType([StructField("v", DoubleType())])
 _L = StructType([StructField("v", LongType())])
@@ -270,8 +269,6 @@ def apply(stream: DataFrame, processor: StatefulProcessor, key: str = "id",
     return stream.groupBy(key).transformWithState(processor, processor.OUTPUT, "Append", time_mode)
 
 
-__all__ = ["JumpAlert", "RisingAlert", "ThresholdAlert", "SwitchFilter", "CountWindow", "RollingMin",
-           "apply", "BooleanType", "StringType"]
 
 
 class WindowCountWithTotal(StatefulProcessor):
@@ -312,3 +309,137 @@ class WindowCountWithTotal(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+_PANE = StructType([StructField("cnt", LongType()), StructField("sum", DoubleType()),
+                    StructField("tick", LongType())])
+
+
+class EarlyFiringWindow(StatefulProcessor):
+    """Tumbling windows with early results on an event-time grid (a trigger
+    with its own state and timers).  After a window's first row it fires
+    every ``every_ms`` with the rows so far (accumulating panes), then a
+    final pane at the window end, after which its state is purged.
+
+    A row at or past the next tick first emits that tick's pane (so panes
+    hold exactly the rows before their tick, however rows are cut into
+    batches); ticks in quiet periods fire from event-time timers."""
+
+    OUTPUT = "id string, window_end_ms long, pane_ms long, cnt long, sum_value double, is_final boolean"
+
+    def __init__(self, size_ms: int, every_ms: int):
+        if size_ms % every_ms:
+            raise ValueError("window size must be a multiple of the firing interval")
+        self.size, self.every = size_ms, every_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.win = handle.getMapState("panes", _L, _PANE)
+
+    def _advance(self, kid, end, cnt, total, tick, upto, out):
+        """Emit the panes of every tick <= ``upto``; return the next tick."""
+        while tick is not None and tick <= upto:
+            out.append(Row(id=kid, window_end_ms=end, pane_ms=tick, cnt=cnt, sum_value=total,
+                           is_final=False))
+            self.handle.deleteTimer(tick)
+            tick += self.every
+            if tick >= end:
+                tick = None
+            else:
+                self.handle.registerTimer(tick)
+        return tick
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        out: list[Row] = []
+        kid = str(key[0])
+        for r in _ordered(rows):
+            t = _ms(r.ts)
+            end = (t // self.size + 1) * self.size
+            if self.win.containsKey((end,)):
+                cnt, total, tick = self.win.getValue((end,))
+            else:
+                cnt, total = 0, 0.0
+                tick = (t // self.every + 1) * self.every
+                if tick >= end:
+                    tick = None
+                else:
+                    self.handle.registerTimer(tick)
+                self.handle.registerTimer(end)
+            tick = self._advance(kid, end, cnt, total, tick, t, out)
+            self.win.updateValue((end,), (cnt + 1, total + r.temperature, tick))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        out: list[Row] = []
+        kid = str(key[0])
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        if self.win.containsKey((at,)):  # window end: final pane, purge
+            cnt, total, tick = self.win.getValue((at,))
+            self._advance(kid, at, cnt, total, tick, at - 1, out)
+            out.append(Row(id=kid, window_end_ms=at, pane_ms=at, cnt=cnt, sum_value=total, is_final=True))
+            self.win.removeKey((at,))
+            return iter(out)
+        end = (at // self.size + 1) * self.size
+        if self.win.containsKey((end,)):
+            cnt, total, tick = self.win.getValue((end,))
+            tick = self._advance(kid, end, cnt, total, tick, at, out)
+            self.win.updateValue((end,), (cnt, total, tick))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
+_ELEM = StructType([StructField("end", LongType()), StructField("t", LongType()),
+                    StructField("seq", LongType())])
+
+
+class EvictingWindow(StatefulProcessor):
+    """Tumbling window with a count evictor before the window function:
+    rows are buffered (map state keyed by window end, time, seq); when the
+    watermark passes the window end only the last ``keep_last`` rows are
+    kept and averaged, then the buffer is purged."""
+
+    OUTPUT = "id string, window_end_ms long, cnt long, avg_temp double"
+
+    def __init__(self, size_ms: int, keep_last: int):
+        self.size, self.keep = size_ms, keep_last
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getMapState("buffer", _ELEM, _D)
+        self.ends = handle.getMapState("ends", _L, _L)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in _ordered(rows):
+            t = _ms(r.ts)
+            end = (t // self.size + 1) * self.size
+            self.buf.updateValue((end, _us(r.ts), r.seq), (r.temperature,))
+            if not self.ends.containsKey((end,)):
+                self.ends.updateValue((end,), (end,))
+                self.handle.registerTimer(end)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        if not self.ends.containsKey((at,)):
+            return iter([])
+        items = [(k[1], k[2], v[0], k) for k, v in self.buf.iterator() if k[0] == at]
+        items.sort()
+        kept = items[-self.keep:]
+        for *_, k in items:
+            self.buf.removeKey(k)
+        self.ends.removeKey((at,))
+        vals = [x[2] for x in kept]
+        return iter([Row(id=str(key[0]), window_end_ms=at, cnt=len(vals),
+                         avg_temp=round(sum(vals) / len(vals), 6))])
+
+    def close(self) -> None:
+        pass
+
+
+def _us(ts) -> int:
+    import datetime as dt
+    if ts.tzinfo is None:
+        ts = ts.replace(tzinfo=dt.timezone.utc)
+    return int(ts.timestamp()) * 1_000_000 + ts.microsecond

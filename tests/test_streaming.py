@@ -320,3 +320,31 @@ def test_punctuated_watermark(spark):
     run_until_done(q, 120)
     wms = [pr["eventTime"].get("watermark") for pr in q.recentProgress if pr["eventTime"].get("watermark")]
     assert wms and wms[-1].startswith("2024-01-01T10:00:00")
+
+
+def test_early_firing_stream_equals_batch(spark):
+    from eventide.operators.panes import early_firing_counts
+    r = _readings(spark)
+    folder = _stage(spark, _with_marker(spark, r), 5)
+    s = readings_stream(spark, folder, r.schema).withWatermark("ts", "0 seconds")
+    got = _run(P.apply(s, P.EarlyFiringWindow(6 * 3600 * 1000, 3600 * 1000)), "early_stream")
+    got = got.where(F.col("id") != "__end__").select(
+        "id", F.timestamp_millis("window_end_ms").cast("timestamp_ntz").alias("window_end"),
+        F.timestamp_millis("pane_ms").cast("timestamp_ntz").alias("pane_ts"), "cnt",
+        F.round("sum_value", 6).alias("sum_value"), "is_final")
+    want = early_firing_counts(r, "id", "ts", "6 hours", "1 hour").withColumn("sum_value", F.round("sum_value", 6))
+    cols = ["id", "window_end", "pane_ts", "cnt", "sum_value", "is_final"]
+    assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_evicting_window_stream_equals_batch(spark):
+    from eventide.plans.catalog import spark_queries
+    r = _readings(spark)
+    folder = _stage(spark, _with_marker(spark, r), 4)
+    s = readings_stream(spark, folder, r.schema).withWatermark("ts", "0 seconds")
+    got = _run(P.apply(s, P.EvictingWindow(6 * 3600 * 1000, 3)), "evict_stream").where(F.col("id") != "__end__")
+    got = got.select("id", F.timestamp_millis("window_end_ms").cast("timestamp_ntz").alias("window_end"),
+                     "cnt", "avg_temp")
+    want = spark_queries()["evict_count"](spark, SF001).withColumn("id", F.col("id").cast("string"))
+    cols = ["id", "window_end", "cnt", "avg_temp"]
+    assert _rows(got, cols) == _rows(want, cols)
