@@ -348,3 +348,40 @@ def test_evicting_window_stream_equals_batch(spark):
     want = spark_queries()["evict_count"](spark, SF001).withColumn("id", F.col("id").cast("string"))
     cols = ["id", "window_end", "cnt", "avg_temp"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_late_splitter_restart_same_split(spark):
+    """Stopped after part of the input and restarted from its checkpoint,
+    the late splitter produces the same on-time / late split as one run."""
+    import shutil
+    r = _readings(spark)
+    base = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 86400)
+    lo = r.agg(F.min(base)).first()[0]
+    slot = (base - F.lit(lo)).cast("int")
+    n = r.select(slot.alias("f")).agg(F.max("f")).first()[0] + 1
+    late_mask = F.pmod(F.col("seq"), F.lit(40)) == 7
+    root = _fresh()
+    staged = os.path.join(root, "staged")
+    paths = stage_replay(r, staged, n + 1, ["ts", "seq"], file_of=F.when(late_mask, F.lit(n)).otherwise(slot))
+
+    def run(tag, parts_before_stop):
+        src = os.path.join(root, f"in-{tag}")
+        os.makedirs(src)
+        out = os.path.join(root, f"out-{tag}")
+        split = LateSplitter("ts", "1 hour", f"{out}/on_time", f"{out}/late", f"{out}/progress")
+        ck = os.path.join(root, f"ck-{tag}")
+        for cut in parts_before_stop + [len(paths)]:
+            for p in paths[:cut]:
+                if not os.path.exists(os.path.join(src, os.path.basename(p))):
+                    shutil.copy2(p, src)
+            s = readings_stream(spark, src, r.schema)
+            run_until_done(start(s, split, name=f"late_{tag}_{cut}", checkpoint=ck,
+                                 trigger={"availableNow": True}), 240)
+        return (spark.read.parquet(f"{out}/late").select("seq"),
+                spark.read.parquet(f"{out}/on_time").select("seq"))
+
+    late1, on1 = run("once", [])
+    late2, on2 = run("restart", [len(paths) // 2])
+    assert late1.count() > 0
+    assert _rows(late1, ["seq"]) == _rows(late2, ["seq"])
+    assert _rows(on1, ["seq"]) == _rows(on2, ["seq"])
