@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.session import fs_exists, fs_list_dirs
@@ -97,5 +97,4 @@ def read_state(spark, checkpoint: str, operator_id: int = 0, state_var: str | No
     return r.load(checkpoint)
 
 
-__all__ = ["latest_per_key", "KeyedSnapshot", "PerBatchWriter", "JdbcStagedUpsert", "read_state",
-           "Window"]
+__all__ = ["latest_per_key", "KeyedSnapshot", "PerBatchWriter", "JdbcStagedUpsert", "read_state"]
