@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
 from eventide.operators.combine import asof_lookup
-from eventide.operators.scan import Scan, resolve_chunk_us, scan
+from eventide.operators.scan import Scan, resolve_chunking, scan
 
 
 def _keys(key) -> list[str]:
@@ -53,7 +53,7 @@ def threshold_alert(data: DataFrame, updates: DataFrame, key="id", field: str =
     adds ``threshold`` and ``diff`` (abs change) for rows above threshold.
     """
     keys = _keys(key)
-    chunk = resolve_chunk_us(data, ts, chunk)
+    chunk = resolve_chunking(data, keys, ts, chunk)
     tagged = asof_lookup(data, updates, keys, ts, seq, ["threshold"], chunk=chunk)
     active = tagged.where(F.col("threshold").isNotNull() & (F.col("threshold") != 0.0))
     s = scan(active, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk)
@@ -148,7 +148,7 @@ def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: s
     """
     keys = _keys(key)
     interval_us = parse_duration_us(interval)
-    chunk = resolve_chunk_us(df, ts, chunk)
+    chunk = resolve_chunking(df, keys, ts, chunk)
     s = scan(df, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk, keep_chunk=True)
     s = s.withColumn("__fall", F.when(F.col(field) < F.col("__prev"), 1).otherwise(0))
     s = scan(s, keys, ts, [seq], [Scan("__run", "sum", "__fall")], chunk=chunk)

@@ -15,6 +15,13 @@ time chunks:
    already hash-partitioned on those columns) and merge carry with local.
 
 Every combine here is associative, so the result equals the single-pass scan.
+
+Chunk widths are chosen per key (:func:`resolve_chunking`): one job counts
+rows per key; only keys with more than ``targetRowsPerChunk`` rows are cut
+finer, through a small broadcast table whose size is bounded by
+``rows / targetRowsPerChunk``.  Every other key is one chunk, so the carry
+table holds about one row per key, not per event.  With no hot key at all
+the carry branch is skipped.
 """
 
 from __future__ import annotations
@@ -93,6 +100,81 @@ def resolve_chunk_us(df: DataFrame, ts: str, chunk=None, share: float = HOT_KEY_
     return 1_000_000 * (1 << int(math.log2(max(1, width // 1_000_000))))
 
 
+# Above this many hot keys the per-key table is not broadcast; a uniform
+# width sized for the hottest key is used instead.
+MAX_HOT_KEYS = 2_000_000
+
+
+@dataclass
+class Chunking:
+    """How rows are cut into ordered chunks: a uniform width (``width``;
+    SINGLE_CHUNK = one chunk per key) or per-key widths for hot keys
+    (``hot``: key columns + ``__w``, all other keys one chunk)."""
+    width: int | None = None
+    hot: DataFrame | None = None
+    keys: tuple = ()
+
+    @property
+    def single(self) -> bool:
+        return self.hot is None and self.width == SINGLE_CHUNK
+
+    def apply(self, df: DataFrame, ts: str) -> DataFrame:
+        meta = {"single": self.single}
+        if self.hot is None:
+            return df.withColumn("__chunk", chunk_col(ts, self.width).alias("__chunk", metadata=meta))
+        j = df.join(F.broadcast(self.hot), list(self.keys), "left")
+        c = F.when(F.col("__w").isNull(), F.lit(0).cast("long")).otherwise(
+            F.floor(epoch_micros(ts) / F.col("__w")).cast("long"))
+        return j.withColumn("__chunk", c.alias("__chunk", metadata=meta)).drop("__w")
+
+
+def _pow2_seconds(us: Column) -> Column:
+    """Round a width in µs down to a power of two seconds (at least 1 s)."""
+    secs = F.greatest(F.lit(1.0), us / 1_000_000)
+    return (F.pow(F.lit(2.0), F.floor(F.log2(secs))) * 1_000_000).cast("long")
+
+
+def resolve_chunking(df: DataFrame, keys: list[str], ts: str, chunk=None) -> Chunking:
+    """Chunking for a scan over ``df`` keyed by ``keys``.
+
+    Explicit widths (duration, µs, or ``eventide.scan.chunk``) are uniform.
+    Auto: a global order is cut uniformly by :func:`resolve_chunk_us`; a
+    keyed order gets per-key widths from one stats job (cached per input
+    plan: widths only size tasks, results never depend on them).
+    """
+    if isinstance(chunk, Chunking):
+        return chunk
+    spark = df.sparkSession
+    if chunk is None:
+        chunk = spark.conf.get(CHUNK_CONF, "auto")
+    if chunk != "auto" or not keys:
+        return Chunking(width=resolve_chunk_us(df, ts, chunk, 1.0 if not keys else HOT_KEY_SHARE),
+                        keys=tuple(keys))
+    target = int(spark.conf.get(TARGET_ROWS_CONF, str(DEFAULT_TARGET_ROWS)))
+    t = epoch_micros(ts)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"),
+                                    F.max(t).alias("__hi"))
+    probe = per_key.agg(F.sum(F.when(F.col("__n") > target, 1).otherwise(0)).alias("n_hot"),
+                        F.max("__n").alias("max_n"), F.min("__lo").alias("lo"), F.max("__hi").alias("hi"))
+    cache_key = ("keyed", probe._jdf.queryExecution().analyzed().semanticHash(), target)
+    row = _STATS_CACHE.get(cache_key)
+    if row is None:
+        row = probe.first()
+        _STATS_CACHE[cache_key] = row
+    if not row or not row["n_hot"]:
+        return Chunking(width=SINGLE_CHUNK, keys=tuple(keys))
+    if row["n_hot"] > MAX_HOT_KEYS:
+        span = row["hi"] - row["lo"] + 1
+        width = max(1_000_000, span // math.ceil(row["max_n"] / target))
+        return Chunking(width=1_000_000 * (1 << int(math.log2(max(1, width // 1_000_000)))),
+                        keys=tuple(keys))
+    # at most rows / target keys can exceed the target: a proven size bound
+    hot = (per_key.where(F.col("__n") > target)
+           .select(*keys, _pow2_seconds((F.col("__hi") - F.col("__lo") + 1)
+                                        / F.ceil(F.col("__n") / F.lit(target))).alias("__w")))
+    return Chunking(hot=hot, keys=tuple(keys))
+
+
 def chunk_col(ts: str, chunk_us: int) -> Column:
     if chunk_us == SINGLE_CHUNK:
         return F.lit(0).cast("long")
@@ -112,15 +194,14 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
     order = [F.col(ts)] + [F.col(t) for t in tiebreak]
     ord_struct = F.struct(*order)
     part = list(keys) + ["__chunk"]
-    single = False
     if "__chunk" in df.columns:
         base = df
         single = bool(df.schema["__chunk"].metadata.get("single"))
     else:
-        if chunk_us is None:
-            chunk_us = resolve_chunk_us(df, ts, chunk, HOT_KEY_SHARE if keys else 1.0)
-        single = chunk_us == SINGLE_CHUNK
-        base = df.withColumn("__chunk", chunk_col(ts, chunk_us).alias("__chunk", metadata={"single": single}))
+        plan = (Chunking(width=chunk_us, keys=tuple(keys)) if chunk_us is not None
+                else resolve_chunking(df, list(keys), ts, chunk))
+        single = plan.single
+        base = plan.apply(df, ts)
 
     w_local = Window.partitionBy(*part).orderBy(*order)
     w_run = w_local.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
-from eventide.operators.scan import SINGLE_CHUNK, Scan, chunk_col, resolve_chunk_us, scan
+from eventide.operators.scan import Scan, resolve_chunking, scan
 
 
 def _keys(key) -> list[str]:
@@ -98,9 +98,9 @@ def sessions(df: DataFrame, key, ts: str, gap: str, aggs: list[Column],
     """
     keys = _keys(key)
     gap_us = parse_duration_us(gap)
-    chunk_us = resolve_chunk_us(df, ts, chunk)
+    plan = resolve_chunking(df, keys, ts, chunk)
     part = keys + ["__chunk"]
-    base = df.withColumn("__chunk", chunk_col(ts, chunk_us)).withColumn("__t", epoch_micros(ts))
+    base = plan.apply(df, ts).withColumn("__t", epoch_micros(ts))
     w = Window.partitionBy(*part).orderBy(ts, seq)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     w_all = Window.partitionBy(*part)
@@ -112,7 +112,7 @@ def sessions(df: DataFrame, key, ts: str, gap: str, aggs: list[Column],
              .withColumn("__k", F.sum("__flag").over(w_all))
              .withColumn("__first", F.min("__t").over(w_all))
              .withColumn("__last", F.max("__t").over(w_all)))
-    if chunk_us == SINGLE_CHUNK:
+    if plan.single:
         # one chunk per key: local session numbers are final
         joined = local.withColumn("__sid", F.col("__lidx"))
         out = joined.groupBy(*keys, "__sid").agg(
@@ -155,7 +155,7 @@ def merge_intervals(df: DataFrame, key, start: str, end: str, aggs: list[Column]
     that overlap or touch merge.  Gaps-and-islands over a chunked scan of
     the running maximum end."""
     keys = _keys(key)
-    chunk = resolve_chunk_us(df, start, chunk)
+    chunk = resolve_chunking(df, keys, start, chunk)
     s = scan(df, keys, start, [seq], [Scan("__maxend", "max_excl", F.col(end))], chunk=chunk,
              keep_chunk=True)
     s = s.withColumn("__new", F.when(F.col("__maxend").isNull() | (F.col(start) > F.col("__maxend")), 1)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from eventide.operators import windows as W
-from eventide.operators.scan import Scan, chunk_col, resolve_chunk_us, scan
+from eventide.operators.scan import Scan, resolve_chunking, scan
 from eventide.plans.common import events
 
 
@@ -21,11 +21,13 @@ def test_hot_key_is_split_and_exact(spark):
         r = _skewed(spark)
         hot = r.where("id = 0").count()
         assert hot * 3 >= r.count() - 3
-        width = resolve_chunk_us(r, "ts", None)
-        assert width > 0
-        groups = (r.where("id = 0").groupBy(chunk_col("ts", width).alias("c")).count()
-                  .agg(F.count("*").alias("n"), F.max("count").alias("mx")).first())
-        assert groups["n"] >= 8 and groups["mx"] <= 2 * 300
+        plan = resolve_chunking(r, ["id"], "ts")
+        assert plan.hot is not None and plan.hot.count() == 1  # only the hot key is cut finer
+        chunks = plan.apply(r, "ts").groupBy("id", "__chunk").count()
+        hot_g = chunks.where("id = 0").agg(F.count("*").alias("n"), F.max("count").alias("mx")).first()
+        assert hot_g["n"] >= 8 and hot_g["mx"] <= 2 * 300
+        # every other key stays one chunk: the carry table is ~one row per key
+        assert chunks.where("id != 0").groupBy("id").count().where("count > 1").count() == 0
         got = scan(r, ["id"], "ts", ["seq"], [Scan("s", "sum", "temperature"), Scan("p", "prev", "temperature")])
         w = Window.partitionBy("id").orderBy("ts", "seq")
         want = r.select("*", F.sum("temperature").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
