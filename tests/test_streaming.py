@@ -385,3 +385,14 @@ def test_late_splitter_restart_same_split(spark):
     assert late1.count() > 0
     assert _rows(late1, ["seq"]) == _rows(late2, ["seq"])
     assert _rows(on1, ["seq"]) == _rows(on2, ["seq"])
+
+
+def test_session_stream_equals_batch(spark):
+    r = _readings(spark)
+    folder = _stage(spark, _with_marker(spark, r), 4)
+    s = readings_stream(spark, folder, r.schema).withWatermark("ts", "0 seconds")
+    got = _run(W.session_window_stream(s, "id", "ts", "6 hours", [F.count(F.lit(1)).alias("cnt")]),
+               "session_stream").where(F.col("id") != "__end__")
+    want = W.sessions(r, "id", "ts", "6 hours", [F.count(F.lit(1)).alias("cnt")], chunk="2 days")
+    cols = ["id", "window_start", "window_end", "cnt"]
+    assert _rows(got, cols) == _rows(want, cols)
