@@ -44,13 +44,20 @@ def interval_join(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts
 
 
 def window_join(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: str,
-                size: str, slide: str | None = None) -> DataFrame:
-    """Window join: pairs of rows with the same key in the same window
-    (inner).  The pairs per (key, window) are the operator's output."""
+                size: str, right_aggs: list[Column], slide: str | None = None) -> DataFrame:
+    """Window join, pair-free: every left row with the right side's rows of
+    the same key and window, reduced by ``right_aggs`` (inner: windows with
+    no right row drop the left row).
+
+    The literal form would emit all pairs of a (key, window), which is
+    quadratic in a hot group; here the right side is first reduced to one
+    row per (key, window) (partial aggregation) and joined on
+    (key, window), so the output has one row per matching left row."""
     keys = _keys(key)
+    on = keys + ["window_start", "window_end"]
     lw = window_rows(left, left_ts, size, slide)
-    rw = window_rows(right, right_ts, size, slide)
-    return lw.join(rw, keys + ["window_start", "window_end"], "inner")
+    ra = window_rows(right, right_ts, size, slide).groupBy(*on).agg(*right_aggs)
+    return lw.join(ra, on, "inner")
 
 
 def window_cogroup(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: str,

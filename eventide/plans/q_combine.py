@@ -34,17 +34,27 @@ _WS = "make_timestamp(CAST(floor(epoch(ts) / 21600) * 21600 * 1000000 AS BIGINT)
 
 
 @register("window_join", "JON2", f"""
+WITH p AS (SELECT user_id, floor(epoch(ts) / 21600) AS w, count(*) AS n_purchases,
+                  arg_min(event_id, (ts, event_id)) AS first_purchase_seq,
+                  round(sum(value), 6) AS purchase_temp
+           FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
 SELECT v.user_id AS id, {_WS.replace('ts', 'v.ts')} AS window_start,
        {_WS.replace('ts', 'v.ts')} + INTERVAL 6 HOUR AS window_end,
-       v.event_id AS view_seq, p.event_id AS purchase_seq
-FROM events v JOIN events p ON v.user_id = p.user_id
- AND floor(epoch(v.ts) / 21600) = floor(epoch(p.ts) / 21600)
-WHERE v.event_type = 'view' AND p.event_type = 'purchase'""")
+       v.event_id AS view_seq, p.n_purchases, p.first_purchase_seq, p.purchase_temp
+FROM events v JOIN p ON v.user_id = p.user_id AND floor(epoch(v.ts) / 21600) = p.w
+WHERE v.event_type = 'view'""")
 def window_join(spark, sf):
+    """Each view with the purchases of the same user and 6 h window:
+    their count, the first one and their total value (pair-free)."""
     views = _typed(spark, sf, ["view"], "view")
     buys = _typed(spark, sf, ["purchase"], "purchase")
-    j = C.window_join(views, buys, "id", "view_ts", "purchase_ts", "6 hours")
-    return j.select("id", "window_start", "window_end", "view_seq", "purchase_seq")
+    aggs = [F.count(F.lit(1)).alias("n_purchases"),
+            F.min(F.struct("purchase_ts", "purchase_seq")).alias("__first"),
+            F.sum("purchase_temperature").alias("purchase_temp")]
+    j = C.window_join(views, buys, "id", "view_ts", "purchase_ts", "6 hours", aggs)
+    return j.select("id", "window_start", "window_end", "view_seq", "n_purchases",
+                    F.col("__first.purchase_seq").alias("first_purchase_seq"),
+                    r6("purchase_temp").alias("purchase_temp"))
 
 
 _DS = "make_timestamp(CAST(floor(epoch(ts) / 86400) * 86400 * 1000000 AS BIGINT))"
