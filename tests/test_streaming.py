@@ -396,3 +396,22 @@ def test_session_stream_equals_batch(spark):
     want = W.sessions(r, "id", "ts", "6 hours", [F.count(F.lit(1)).alias("cnt")], chunk="2 days")
     cols = ["id", "window_start", "window_end", "cnt"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_job_wrappers(spark):
+    from eventide.streaming import jobs
+    r = _readings(spark)
+    folder = _stage(spark, _with_marker(spark, r), 3)
+    s = readings_stream(spark, folder, r.schema)
+    rising = _run(jobs.rising_alerts(s, "1 hour"), "job_rising").where(F.col("id") != "__end__")
+    assert rising.count() == A.rising_alert(r, "id", "1 hour").count()
+    s2 = readings_stream(spark, folder, r.schema)
+    mm = _run(jobs.min_max_per_window(s2, "6 hours", "0 seconds"), "job_minmax").where(F.col("id") != "__end__")
+    want = W.window_agg(r, "id", "ts", "6 hours", [F.min("temperature").alias("min_temp"),
+                                                   F.max("temperature").alias("max_temp")])
+    cols = ["id", "window_end", "min_temp", "max_temp"]
+    assert _rows(mm, cols) == _rows(want, cols)
+    s3 = readings_stream(spark, folder, r.schema)
+    jumps = _run(jobs.jump_alerts(s3, 10.0, ttl="6 hours"), "job_jump_ttl")
+    want_j = A.self_cleaning_jump_alert(r, "id", 10.0, ttl="6 hours")
+    assert _rows(jumps.where(F.col("id") != "__end__"), ["id", "seq"]) == _rows(want_j, ["id", "seq"])
