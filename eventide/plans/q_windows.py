@@ -127,14 +127,21 @@ def win_count_sliding(spark, sf):
 
 @register("win_all", "WIN10", f"""
 SELECT {_end_sql(HOUR)} AS window_end, count(*) AS cnt,
-       round(avg(value), 6) AS avg_temp, count(DISTINCT user_id) AS n_ids
+       ((2 * sum(CAST(round(value * 100) AS BIGINT)) * 10000 + count(*)) // (2 * count(*)))
+         / 1000000.0 AS avg_temp,
+       count(DISTINCT user_id) AS n_ids
 FROM events GROUP BY 1""")
 def win_all(spark, sf):
-    r = events(spark, sf)
+    """All sensors per hour.  The average is exact: readings carry two
+    decimals, so it is summed in integer cents and rounded half-up to six
+    places with integer arithmetic (a double average can sit on either side
+    of a rounding tie depending on summation order)."""
+    r = events(spark, sf).withColumn("__cents", F.round(F.col("temperature") * 100).cast("long"))
     out = W.window_agg(r, None, "ts", "1 hour", [F.count(F.lit(1)).alias("cnt"),
-                                                 F.avg("temperature").alias("avg_temp"),
+                                                 F.sum("__cents").alias("__sc"),
                                                  F.count_distinct("id").alias("n_ids")])
-    return out.select("window_end", "cnt", r6("avg_temp").alias("avg_temp"), "n_ids")
+    avg_micro = F.expr("(2 * __sc * 10000 + cnt) div (2 * cnt)")
+    return out.select("window_end", "cnt", (avg_micro / F.lit(1_000_000.0)).alias("avg_temp"), "n_ids")
 
 
 def _business_day_assigner():
