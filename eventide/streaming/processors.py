@@ -443,3 +443,44 @@ def _us(ts) -> int:
     if ts.tzinfo is None:
         ts = ts.replace(tzinfo=dt.timezone.utc)
     return int(ts.timestamp()) * 1_000_000 + ts.microsecond
+
+
+_SORT_KEY = StructType([StructField("t", LongType()), StructField("seq", LongType())])
+
+
+class EventTimeSorter(StatefulProcessor):
+    """Release each key's rows in event-time order once the watermark has
+    passed them: rows wait in map state keyed by (time, seq), an event-time
+    timer at each row's time releases everything due, in order.  ``emit_no``
+    numbers the released rows of a key."""
+
+    OUTPUT = "id string, ts timestamp, temperature double, seq long, emit_no long"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.buf = handle.getMapState("buffer", _SORT_KEY, _D)
+        self.emitted = handle.getValueState("emitted", _L)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        for r in rows:
+            self.buf.updateValue((_us(r.ts), r.seq), (r.temperature,))
+            self.handle.registerTimer(_ms(r.ts) + 1)  # due once the watermark passes ts
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        import datetime as dt
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        due = sorted((k[0], k[1], v[0]) for k, v in self.buf.iterator() if k[0] < wm_us)
+        n = self.emitted.get()[0] if self.emitted.exists() else 0
+        out = []
+        for t_us, seq, temp in due:
+            n += 1
+            ts = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=t_us)
+            out.append(Row(id=str(key[0]), ts=ts, temperature=temp, seq=seq, emit_no=n))
+            self.buf.removeKey((t_us, seq))
+        if due:
+            self.emitted.update((n,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
