@@ -435,3 +435,27 @@ def test_event_time_sorter_orders_disordered_input(spark):
     w = Window.partitionBy("id").orderBy("ts", "seq")
     ranked = got.withColumn("rank", F.row_number().over(w))
     assert ranked.where(F.col("rank") != F.col("emit_no")).count() == 0
+
+
+def test_processing_time_window_and_rate_generator(spark):
+    """Processing-time windows and the unbounded generator: non-deterministic
+    by nature, so only rows flowing and being counted in full is checked."""
+    import time
+    from eventide.operators.timecols import with_processing_time
+    from eventide.sources.generator import sensor_stream
+    r = _readings(spark)
+    folder = _stage(spark, r, 2)
+    s = with_processing_time(readings_stream(spark, folder, r.schema))
+    per_window = s.groupBy(F.window("proc_ts", "1 hour")).agg(F.count(F.lit(1)).alias("n"))
+    got = _run(per_window, "proc_windows", mode="complete")
+    assert got.agg(F.sum("n")).first()[0] == r.count()
+    gen = sensor_stream(spark, rows_per_second=50, n_sensors=4)
+    q = start(gen, "memory", name="gen_stream", trigger={"processingTime": "500 milliseconds"})
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table("gen_stream").count() < 20:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = spark.table("gen_stream")
+    assert rows.count() >= 20 and rows.select("id").distinct().count() <= 4
