@@ -88,7 +88,7 @@ def fire_alert(data: DataFrame, smoke: DataFrame, threshold: float = 100.0,
 
 # ------------------------------------------------------------ rising alert
 
-def _rising_replay(batches, interval_us: int, nkeys: int):
+def _rising_replay(batches, interval_us: int, nkeys: int, first_counts: bool = False):
     """Replay the rise/timer logic over partitions sorted by (key, run,
     term, t, seq).  A run = rows from a falling row (or the key's first
     row) up to the next falling row, which closes the run as a terminator
@@ -108,6 +108,7 @@ def _rising_replay(batches, interval_us: int, nkeys: int):
         keys = [pdf[f"k{i}"].tolist() for i in range(nkeys)]
         runs = pdf["__run"].tolist()
         term = pdf["__term"].tolist()
+        firsts = pdf["__first"].tolist()
         t = pdf["__t"].tolist()
         v = pdf["__v"].tolist()
         for i in range(len(t)):
@@ -116,6 +117,8 @@ def _rising_replay(batches, interval_us: int, nkeys: int):
                 if cur is not None and timer is not None and not ended:
                     out_rows.append(cur + (timer,))
                 cur, timer, last, ended = gk, None, v[i], False
+                if first_counts and firsts[i] and not term[i] and v[i] > 0.0:
+                    timer = t[i] + interval_us  # unset state compared as 0.0
                 continue
             if timer is not None and timer <= t[i]:
                 out_rows.append(cur + (timer,))
@@ -133,11 +136,13 @@ def _rising_replay(batches, interval_us: int, nkeys: int):
 
 
 def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: str = "temperature",
-                 ts: str = "ts", seq: str = "seq", chunk=None) -> DataFrame:
+                 ts: str = "ts", seq: str = "seq", chunk=None, first_counts: bool = False) -> DataFrame:
     """Alert at ``t + interval`` when a reading at ``t`` rose above the
     previous one and no falling reading arrived before ``t + interval``
     (event-time timers; a timer that fired lets the next rise arm a new
-    one).  Returns ``(key..., alert_ts)``.
+    one).  Returns ``(key..., alert_ts)``.  The key's first reading only
+    sets state; ``first_counts=True`` compares it with 0.0 instead, as an
+    unset numeric state would read.
 
     Which rise arms a timer depends on when the previous timer fired, a
     chain no window expression states.  Falling rows reset the logic, so:
@@ -150,13 +155,15 @@ def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: s
     interval_us = parse_duration_us(interval)
     chunk = resolve_chunking(df, keys, ts, chunk)
     s = scan(df, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk, keep_chunk=True)
-    s = s.withColumn("__fall", F.when(F.col(field) < F.col("__prev"), 1).otherwise(0))
+    s = s.withColumn("__first", F.col("__prev").isNull())
+    prev = F.coalesce(F.col("__prev"), F.lit(0.0)) if first_counts else F.col("__prev")
+    s = s.withColumn("__fall", F.when(F.col(field) < prev, 1).otherwise(0))
     s = scan(s, keys, ts, [seq], [Scan("__run", "sum", "__fall")], chunk=chunk)
     # a falling row starts run r and also closes run r - 1 (terminator copy)
     copies = F.when(F.col("__fall") == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
     runs = s.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "__run",
                     epoch_micros(ts).alias("__t"), F.col(seq).alias("__s"),
-                    F.col(field).cast("double").alias("__v"), F.explode(copies).alias("__term"))
+                    F.col(field).cast("double").alias("__v"), "__first", F.explode(copies).alias("__term"))
     runs = runs.withColumn("__run", F.when(F.col("__term"), F.col("__run") - 1).otherwise(F.col("__run")))
     kcols = [f"k{i}" for i in range(len(keys))]
     ktypes = ", ".join(f"{k} {runs.schema[k].dataType.simpleString()}" for k in kcols)
@@ -164,7 +171,7 @@ def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: s
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (runs.repartition(n, *kcols, "__run")
                .sortWithinPartitions(*kcols, "__run", "__term", "__t", "__s"))
-    out = ordered.mapInPandas(lambda it: _rising_replay(it, interval_us, len(keys)), schema)
+    out = ordered.mapInPandas(lambda it: _rising_replay(it, interval_us, len(keys), first_counts), schema)
     return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)],
                       from_epoch_micros("alert_us").alias("alert_ts"))
 

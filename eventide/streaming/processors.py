@@ -88,8 +88,9 @@ class RisingAlert(StatefulProcessor):
 
     OUTPUT = "id string, alert_ms long"
 
-    def __init__(self, interval_ms: int):
+    def __init__(self, interval_ms: int, first_counts: bool = False):
         self.interval = interval_ms
+        self.first_counts = first_counts
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -105,10 +106,10 @@ class RisingAlert(StatefulProcessor):
                 out.append(Row(id=str(key[0]), alert_ms=due))
                 self.handle.deleteTimer(due)
                 self.timer.clear()
-            if not self.last.exists():
+            if not self.last.exists() and not self.first_counts:
                 self.last.update((r.temperature,))
                 continue
-            last = self.last.get()[0]
+            last = self.last.get()[0] if self.last.exists() else 0.0
             if r.temperature > last and not self.timer.exists():
                 due = t + self.interval
                 self.handle.registerTimer(due)

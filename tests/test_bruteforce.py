@@ -10,16 +10,18 @@ from eventide.operators import alerts as A
 from eventide.plans.common import events
 
 
-def _replay_rising(rows, interval):
+def _replay_rising(rows, interval, first_counts=False):
     """rows: (id, ts, seq, temp) sorted by ts, seq.  Timers fire before a
     row at or after their time; end of input fires what is left."""
     state = {}
     out = []
     for rid, ts, _seq, temp in rows:
         st = state.get(rid)
-        if st is None:
+        if st is None and not first_counts:
             state[rid] = {"last": temp, "timer": None}
             continue
+        if st is None:
+            st = state[rid] = {"last": 0.0, "timer": None}
         if st["timer"] is not None and st["timer"] <= ts:
             out.append((rid, st["timer"]))
             st["timer"] = None
@@ -52,6 +54,16 @@ def test_rising_alert_sf001(spark):
     _check_rising(spark, SF01, 12, "1 day")
 
 
+def test_rising_alert_first_counts(spark):
+    r = events(spark, SF001)
+    rows = sorted(((x["id"], x["ts"], x["seq"], x["temperature"]) for x in r.collect()),
+                  key=lambda t: (t[1], t[2]))
+    want = _replay_rising(rows, dt.timedelta(hours=1), first_counts=True)
+    got = sorted((x["id"], x["alert_ts"]) for x in
+                 A.rising_alert(r, "id", "1 hour", chunk="3 days", first_counts=True).collect())
+    assert got == want and want != _replay_rising(rows, dt.timedelta(hours=1))
+
+
 def test_rising_alert_fixture(spark, sensors):
     # sensor_1: 35.8, 32 (fall), 36.2 (rise at 208 → timer 218), 29.7 (fall at 210
     # cancels), 30.9 (rise at 213 → timer 223), flat ... 219, 319 ≥ 223 → fires at 223
