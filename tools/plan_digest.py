@@ -39,7 +39,7 @@ def main() -> None:
     parts = ["# Physical plans (digest)", "",
              f"Generated by `tools/plan_digest.py` on `{sf}`; operator lines only.", ""]
     for name in ["win_tumbling_avg", "word_count", "rolling_sum", "win_session", "rising_alert",
-                 "interval_join", "fire_alert", "early_firing"]:
+                 "interval_join", "window_join", "fire_alert", "early_firing"]:
         parts += [f"## {name}", "", "```", digest(qs[name](spark, sf)), "```", ""]
     spark.conf.set("eventide.scan.targetRowsPerChunk", str(max(1000, 10)))
     r = events(spark, sf)
