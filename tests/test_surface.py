@@ -102,3 +102,15 @@ def test_udaf_and_udtf(spark):
     from eventide.operators.transform import flat_map_split
     assert sorted(r["word"] for r in words.collect()) == sorted(
         r["word"] for r in flat_map_split(lines, "line").collect())
+
+
+def test_service_source_builders(spark):
+    """The socket reader is only declared (nothing connects until a query
+    starts, and none is started here); Kafka needs its connector jar, which
+    this environment lacks, and says so."""
+    import pytest
+    from eventide.streaming.sources import kafka_values, socket_lines
+    s = socket_lines(spark, "localhost", 7777)
+    assert s.isStreaming and s.columns == ["value"]
+    with pytest.raises(Exception, match="(?i)kafka"):
+        kafka_values(spark, "localhost:9092", topic="sensor")
