@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from eventide.operators import alerts as A
 from eventide.operators import windows as W
-from eventide.plans.common import events
+from eventide.plans.common import events, table
 from eventide.streaming import processors as P
 from eventide.streaming.late import LateSplitter
 from eventide.streaming.runner import run_until_done, start
@@ -488,3 +488,21 @@ def test_stateful_window_restart_equals_batch(spark):
                                                    F.round(F.sum("temperature"), 6).alias("total")])
     cols = ["id", "window_end", "cnt", "total"]
     assert _rows(got, cols) == _rows(want, cols)
+
+
+def test_union_and_connect_on_streams(spark):
+    from eventide.operators import transform as T
+    r = _readings(spark)
+    orders = (table(spark, SF001, "orders")
+              .select(F.col("o_custkey").cast("string").alias("id"), F.col("o_orderdate").alias("ts"),
+                      (F.col("o_totalprice") / 1000).alias("temperature"), F.col("o_orderkey").alias("seq")))
+    a = readings_stream(spark, _stage(spark, r, 2), r.schema)
+    b = readings_stream(spark, _stage(spark, orders, 2), orders.schema)
+    u = _run(T.union_all(a, b), "union_stream")
+    assert u.count() == r.count() + orders.count()
+    a2 = readings_stream(spark, _stage(spark, r, 2), r.schema)
+    b2 = readings_stream(spark, _stage(spark, orders, 2), orders.schema)
+    c = T.connect(a2, b2, {"id": F.col("id"), "status": F.when(F.col("temperature") > 100, "warning")
+                           .otherwise("healthy")}, {"id": F.col("id"), "status": F.lit("order")})
+    got = _run(c, "connect_stream")
+    assert got.where("src = 2").count() == orders.count() and got.where("src = 1").count() == r.count()
