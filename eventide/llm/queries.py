@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from eventide.llm import q_documents, q_url  # noqa: F401
+from eventide.llm import q_decontam, q_documents, q_langid, q_toxicity, q_url  # noqa: F401
 from eventide.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
