@@ -20,6 +20,6 @@ def held_out():
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out()).select("doc_id", F.col("toxic").alias("label"))
-    machine = T.train(*T.training_rows(docs.select("doc_id", "text").join(labels, "doc_id")))
+    machine = T.train(*T.training_rows(docs, labels))
     return T.score(docs.select("doc_id", "text"), machine).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= PREDICT_FROM).cast("int").alias("predicted"))

@@ -136,17 +136,20 @@ def train(rows: list[np.ndarray], labels: np.ndarray, share: float, terms: int =
     return Machine(column, float(b + np.log(share / (1 - share)) - np.log(p / (1 - p))), w, v)
 
 
-def training_rows(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[np.ndarray], np.ndarray, float]:
-    """A bounded sample of ``(doc_id, text, label)``, at most about ``rows`` of
-    each label by a hash of doc_id, as distinct term buckets of whole texts;
-    and the true share of label 1 over all labelled rows."""
-    labelled = labelled.where("label IN (0, 1) AND doc_id IS NOT NULL")
-    counts = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+def training_rows(docs: DataFrame, labels: DataFrame,
+                  rows: int = SAMPLE_ROWS) -> tuple[list[np.ndarray], np.ndarray, float]:
+    """A bounded sample of the documents ``(doc_id, text)`` named by
+    ``labels(doc_id, label)``, at most about ``rows`` of each label by a hash
+    of doc_id, as distinct term buckets of whole texts; and the true share of
+    label 1 over all labels."""
+    labels = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("label").cast("int"))
+    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     if not total:
         return [], np.zeros(0, np.int64), 0.0
     odds = F.create_map(*[F.lit(v) for k in sorted(counts) for v in (k, rows / counts[k])])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+    drawn = labels.where(draw < odds[F.col("label")]).limit(4 * rows)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -157,7 +160,7 @@ def training_rows(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[np
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("label").slice(at, len(part)), pa.array(held, pa.binary())], names=["label", "terms"])
 
-    taken = (labelled.where(draw < odds[F.col("label")]).select(F.col("label").cast("int").alias("label"), "text")
+    taken = (docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("label", "text")    # <= 4 x rows
              .mapInArrow(run, "label int, terms binary").limit(4 * rows).collect())
     taken = sorted((r["label"], bytes(r["terms"])) for r in taken)
     return ([np.frombuffer(t, "<i4").astype(np.int64) for _, t in taken],
