@@ -55,9 +55,10 @@ def clean(docs: DataFrame, site: str = "source", doc_id: str = "doc_id", text: s
     ``n_dropped``; columns of these names are replaced."""
     body = F.col(f"`{text}`")
     hashes = F.filter(F.array_distinct(F.transform(lines_of(body), line_hash)), lambda h: h.isNotNull())
-    seen = stored(docs.where(body.isNotNull()).select(
+    hashed = docs.where(body.isNotNull()).select(
         F.col(f"`{doc_id}`").alias("id"), F.xxhash64(body).alias("text_hash"),
-        F.col(f"`{site}`").cast("string").alias("site"), F.explode(hashes).alias("h")), "lines")
+        F.col(f"`{site}`").cast("string").alias("site"), hashes.alias("hs"))
+    seen = stored(hashed.select("id", "text_hash", "site", F.explode("hs").alias("h")), "lines")
     common = stored(boilerplate(seen.select("h", "site"), min_sites, lg_k), "boilerplate")
     drops = (seen.select("id", "text_hash", "h").join(common, "h").groupBy("id", "text_hash")
              .agg(F.collect_set("h").alias("__drop")))        # at most the lines of one text

@@ -1,10 +1,10 @@
 """Mixing sources to target weights with soft domain membership, in DataFrame
 operations only.
 
-A table of labelled documents teaches a classifier: hashed tokens whose
-presence tells domains apart beyond chance (chi-squared) carry smoothed
-log-rates, and a temperature fitted on held-out labelled rows makes the
-posteriors honest.  Every document then has a posterior over the domains and a
+A table of labelled documents teaches a classifier: hashed tokens that tell
+domains apart beyond chance (chi-squared) count by presence and by absence
+(Bernoulli naive Bayes), and a temperature fitted on held-out labelled rows
+makes the posteriors honest.  Every document then has a posterior over the domains and a
 rate, how often it is to be read.  The expected tokens of a domain are the sum
 of rate x tokens x posterior; rates minimise the squared distance of these
 totals to the targets by projected gradient: in each step the distributed
@@ -61,8 +61,9 @@ def sample_labels(labelled: DataFrame, domains: list[str], rows: int) -> tuple[D
 
 
 def token_table(present: DataFrame, domains: list[str]) -> DataFrame:
-    """``(doc_id, domain, bucket)`` of the sample -> ``(bucket, l0, l1, ...)``:
-    log-rates of the tokens that tell domains apart, ``MOST_TOKENS`` at most."""
+    """``(doc_id, domain, bucket)`` of the sample -> ``(bucket, l0, l1, ...)`` of
+    the tokens that tell domains apart, ``MOST_TOKENS`` at most: what presence
+    adds to the log-likelihood; and row -1, what a text without any has."""
     size = {r["domain"]: r["n"] for r in present.select("doc_id", "domain").distinct().groupBy("domain")
             .agg(F.count(F.lit(1)).alias("n")).collect()}
     total = max(1, sum(size.values()))
@@ -76,19 +77,23 @@ def token_table(present: DataFrame, domains: list[str]) -> DataFrame:
         chi2.append(off * off / F.greatest(expected * (1 - p) * (total - F.col("n")) / total, F.lit(1e-9)))
     told = counts.withColumn("chi2", F.greatest(*chi2, F.lit(0.0))).where(
         (F.col("n") >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "bucket").limit(MOST_TOKENS)
-    return told.select("bucket", *[F.log((F.col(f"n{k}") + 0.5) / (size.get(d, 0) + 1.0)).alias(f"l{k}")
-                                   for k, d in enumerate(domains)])
+    rates = told.select("bucket", *[((F.col(f"n{k}") + 0.5) / (size.get(d, 0) + 1.0)).alias(f"l{k}")
+                                    for k, d in enumerate(domains)])
+    absent = rates.agg(*[F.coalesce(F.sum(F.log(1 - F.col(f"l{k}"))), F.lit(0.0)).alias(f"l{k}") for k in range(len(domains))])
+    present_only = rates.select("bucket", *[F.log(F.col(f"l{k}") / (1 - F.col(f"l{k}"))).alias(f"l{k}") for k in range(len(domains))])
+    return present_only.unionByName(absent.withColumn("bucket", F.lit(-1)))
 
 
 def evidence(texts: DataFrame, table: DataFrame, n: int) -> DataFrame:
     """``(doc_id, text, ...)`` -> one row for each distinct (doc_id, text):
     its tokens, how many equal rows it stands for, and the summed log-rates."""
     words = _tokens(F.col("text"))
-    rows = texts.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), F.size(words).alias("tokens"),
-                        # bucket -1 stands for the row itself
-                        F.explode(F.concat(F.array(F.lit(-1)), _present(words))).alias("bucket"))
-    one = table.sparkSession.range(1).select(F.lit(-1).alias("bucket"), *[F.lit(0.0).alias(f"l{k}") for k in range(n)])
-    met = rows.join(F.broadcast(table.unionByName(one)), "bucket")       # at most MOST_TOKENS + 1 rows
+    split = texts.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), words.alias("words"))
+    # columns first, rows then: what stands beside an explode is worked out for each of its rows
+    split = split.select("doc_id", "text_hash", F.size("words").alias("tokens"), _present(F.col("words")).alias("present"))
+    rows = split.select("doc_id", "text_hash", "tokens",     # bucket -1 stands for the row itself
+                        F.explode(F.concat(F.array(F.lit(-1)), F.col("present"))).alias("bucket"))
+    met = rows.join(F.broadcast(table), "bucket")       # at most MOST_TOKENS + 1 rows
     copies = F.sum((F.col("bucket") < 0).cast("long"))
     return met.groupBy("doc_id", "text_hash", "tokens").agg(
         copies.alias("copies"), *[(F.sum(f"l{k}") / copies).alias(f"l{k}") for k in range(n)])
@@ -140,31 +145,40 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tole
     n = len(targets)
     weight = F.col("tokens") * F.col("copies")
     p = [F.col(f"p{k}") for k in range(n)]
+
+    def step(rate, move):
+        return F.greatest(F.lit(0.0), rate + sum((c * F.get(move, F.lit(k)) for k, c in enumerate(p)), F.lit(0.0)))
+
+    def after(moves):
+        """The rate after these moves; they are data of the plan, so every
+        step runs the code compiled for the first."""
+        listed = F.array(*[F.array(*map(F.lit, m)) for m in moves]) if moves else F.array().cast("array<array<double>>")
+        return F.aggregate(listed, F.col("rate"), step)
+
     state = stored(members.withColumn("rate", F.lit(1.0)), "mixing-rates")
     moves: list[list[float]] = []
-    now, before = F.col("rate"), None
     old = goal = natural = None
-    for step in range(steps + 1):
-        moved = F.lit(0.0) if before is None else (now - before) * (now - before)
-        row = state.agg(*[F.sum(weight * now * c).alias(f"e{k}") for k, c in enumerate(p)],
-                        F.sum(weight * moved).alias("moved")).first()
+    for turn in range(steps + 1):
+        pair = state.withColumn("before", after(moves[:-1])).withColumn(
+            "now", step(F.col("before"), F.array(*map(F.lit, moves[-1]))) if moves else F.col("before"))
+        gone = F.col("now") - F.col("before")
+        row = pair.agg(*[F.sum(weight * F.col("now") * c).alias(f"e{k}") for k, c in enumerate(p)],
+                       F.sum(weight * gone * gone).alias("moved")).first()
         got = [row[k] or 0.0 for k in range(n)]
         if natural is None:
             natural, total = got, sum(got)
             goal = [t / sum(targets) * total for t in targets]
-        if not total or max(abs(g - e) for g, e in zip(goal, got)) <= tolerance * total or step == steps:
+        if not total or max(abs(g - e) for g, e in zip(goal, got)) <= tolerance * total or turn == steps:
             break
-        short = [(g - e) / max(w, 1e-9 * total) for g, e, w in zip(goal, got, natural)]
-        turn = 0.0 if old is None else sum((e - o) ** 2 / max(w, 1e-9 * total) for e, o, w in zip(got, old, natural))
-        length = min(max((row["moved"] or 0.0) / turn, 1.0), 100.0) if turn > 0 else 1.0
+        # distances in units of a domain's own tokens: then a step of length 1 never overshoots
+        unit = [max(w, 1e-9 * total) for w in natural]
+        change = 0.0 if old is None else sum((e - o) ** 2 / w for e, o, w in zip(got, old, unit))
+        length = min(max((row["moved"] or 0.0) / change, 1.0), 100.0) if change > 0 else 1.0
         old = got
-        moves.append([length * s for s in short])
-        if len(moves) % cut == 0:
-            state = stored(state.withColumn("rate", now), "mixing-rates")
-            now = F.col("rate")
-        before = now
-        now = F.greatest(F.lit(0.0), now + sum((c * m for c, m in zip(p[1:], moves[-1][1:])), p[0] * moves[-1][0]))
-    return state.withColumn("rate", now)
+        if len(moves) == cut:
+            state, moves = stored(pair.withColumn("rate", F.col("now")).drop("before", "now"), "mixing-rates"), []
+        moves.append([length * (g - e) / w for g, e, w in zip(goal, got, unit)])
+    return pair.withColumn("rate", F.col("now")).drop("before", "now")
 
 
 def copies_of(rate, doc_id, seed: int = 11):

@@ -10,7 +10,7 @@ from eventide.llm.q_documents import documents
 from eventide.llm.registry import query
 
 #: Shares of all tokens that each domain of ``labels`` is to have.
-TARGETS = {"good": 0.90, "low": 0.08, "toxic": 0.02}
+TARGETS = {"good": 0.85, "low": 0.10, "toxic": 0.05}
 
 
 def domains(labels: DataFrame) -> DataFrame:
