@@ -37,23 +37,25 @@ WINDOW = 10                     # words
 SEGMENT_WORDS = 2 << 20         # a segment closes once it has as many
 BLOCK_WORDS = 500_000           # words of items searched in one pass
 GAP = 64                        # free places between documents, over any window and slop
-INDEX = "kind string, segment long, term binary, cf int, postings binary, doc_ord int, doc_id long, n_words int"
+INDEX = ("kind string, segment long, term binary, cf int, postings binary, doc_ord int, doc_id long, text_hash long, "
+         "n_words int")
 
 
 class _Segment:
     """Words of some documents, waiting to be written as posting lists."""
 
     def __init__(self, number: int):
-        self.number, self.terms, self.at, self.docs, self.bases, self.sizes = number, [], [], [], [], []
+        self.number, self.terms, self.at, self.docs, self.hashes, self.bases, self.sizes = number, [], [], [], [], [], []
         self.words = self.next = 0
 
-    def add(self, ids: pa.Array, text: pa.Array) -> None:
+    def add(self, ids: pa.Array, hashes: pa.Array, text: pa.Array) -> None:
         words = split_words(text)
         sizes = np.diff(words.first)
         bases = self.next + np.append(0, np.cumsum(sizes + GAP)[:-1])
         self.terms.append(words.arrow())
         self.at.append((np.repeat(bases - words.first[:-1], sizes) + np.arange(words.first[-1])).astype(np.int32))
         self.docs.append(ids)
+        self.hashes.append(hashes)
         self.bases.append(bases.astype(np.int32))
         self.sizes.append(sizes.astype(np.int32))
         self.words += int(words.first[-1])
@@ -64,7 +66,8 @@ class _Segment:
         list of the empty term, which no word is), and one list a term."""
         n, number = sum(map(len, self.docs)), self.number
         yield _rows(n, kind="doc", segment=number, doc_ord=np.arange(n, dtype=np.int32),
-                    doc_id=pa.chunked_array(self.docs).combine_chunks(), n_words=np.concatenate(self.sizes))
+                    doc_id=pa.chunked_array(self.docs).combine_chunks(),
+                    text_hash=pa.chunked_array(self.hashes).combine_chunks(), n_words=np.concatenate(self.sizes))
         bases = np.concatenate(self.bases).astype("<i4")
         yield _rows(1, kind="term", segment=number, term=pa.array([b""], pa.binary()), cf=np.array([n], np.int32),
                     postings=pa.array([bases.tobytes()], pa.binary()))
@@ -83,7 +86,7 @@ class _Segment:
 
 def _rows(n: int, **columns) -> pa.RecordBatch:
     kinds = {"kind": pa.string(), "segment": pa.int64(), "term": pa.binary(), "cf": pa.int32(), "postings": pa.binary(),
-             "doc_ord": pa.int32(), "doc_id": pa.int64(), "n_words": pa.int32()}
+             "doc_ord": pa.int32(), "doc_id": pa.int64(), "text_hash": pa.int64(), "n_words": pa.int32()}
     cols = []
     for name, kind in kinds.items():
         v = columns.get(name)
@@ -95,10 +98,15 @@ def _rows(n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=list(kinds))
 
 
+def row_hash(text: str):
+    """Hash of a text, null as the empty one."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 segment_words: int = SEGMENT_WORDS) -> DataFrame:
     """The stored index of ``docs``, a table in the shared checkpoint folder
-    with rows of kind ``doc`` (segment, doc_ord, doc_id, n_words) and ``term``
+    with rows of kind ``doc`` (segment, doc_ord, doc_id, text_hash, n_words) and ``term``
     (segment, term, cf, postings: positions as little-endian int32)."""
     spark = docs.sparkSession
 
@@ -110,7 +118,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for part in slices(batch, "text"):
                 if segment is None:
                     segment = _Segment((task << 32) + made)
-                segment.add(part.column("doc_id"), part.column("text"))
+                segment.add(part.column("doc_id"), part.column("text_hash"), part.column("text"))
                 if segment.words + GAP * sum(map(len, segment.docs)) >= segment_words:
                     yield from segment.batches()
                     segment, made = None, made + 1
@@ -118,7 +126,8 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             yield from segment.batches()
 
     path = scratch_path(spark, "position-index")
-    (docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, INDEX)
+    (docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_hash(text).alias("text_hash"), F.col(text).alias("text"))
+     .mapInArrow(run, INDEX)
      .write.partitionBy("kind").option("compression", "zstd").parquet(path))
     return spark.read.schema(INDEX).parquet(path)
 
@@ -231,7 +240,7 @@ def _search_block(spark, index: DataFrame, taken, slop: int) -> DataFrame:
 
 
 def report(index: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row for each indexed document row: ``(doc_id, n_words, n_hit, items)``;
+    """One row for each indexed document row: ``(doc_id, text_hash, n_words, n_hit, items)``;
     n_hit counts the words inside phrase matches, items are the distinct
     item_ids, sorted as strings."""
     phrase = matches.where("kind = 'phrase'")
@@ -240,8 +249,17 @@ def report(index: DataFrame, matches: DataFrame) -> DataFrame:
     new = F.greatest(F.lit(0), F.col("end") - F.greatest("start", before))
     hit = phrase.select("segment", "doc_ord", "item_id", new.alias("new")).groupBy("segment", "doc_ord").agg(
         F.sum("new").alias("n_hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
-    docs = index.where("kind = 'doc'").select("segment", "doc_ord", "doc_id", "n_words")
+    docs = index.where("kind = 'doc'").select("segment", "doc_ord", "doc_id", "text_hash", "n_words")
     return docs.join(hit, ["segment", "doc_ord"], "left").select(
-        "doc_id", F.col("n_words").cast("long").alias("n_words"),
+        "doc_id", "text_hash", F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def remove_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows in which a window of an item
+    stands."""
+    index = build_index(docs, doc_id, text)
+    bad = stored(report(index, search(index, items)).where("n_hit > 0").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "contaminated")
+    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__id")) & (row_hash(text) == F.col("__hash")), "left_anti")
