@@ -1,10 +1,10 @@
 """Mixing sources to target weights with soft domain membership, in DataFrame
 operations only.
 
-A table of labelled documents teaches a classifier: hashed tokens that tell
-domains apart beyond chance (chi-squared) count by presence and by absence
-(Bernoulli naive Bayes), and a temperature fitted on held-out labelled rows
-makes the posteriors honest.  Every document then has a posterior over the domains and a
+A table of labelled documents teaches a classifier: softmax regression over
+the hashed tokens that tell domains apart beyond chance (chi-squared), by
+gradients summed over a bounded, balanced sample and corrected to the domains'
+true shares.  Every document then has a posterior over the domains and a
 rate, how often it is to be read.  The expected tokens of a domain are the sum
 of rate x tokens x posterior; rates minimise the squared distance of these
 totals to the targets by projected gradient: in each step the distributed
@@ -31,8 +31,8 @@ BUCKETS = 1 << 18
 SAMPLE_ROWS = 4000      # bound on labelled rows of each domain
 LEAST_DOCS = 3          # of the sample that must have a kept token
 LEAST_CHI2 = 20.0       # of a kept token against one domain
-MOST_TOKENS = 1 << 14   # bound on kept tokens
-TEMPERATURES = (1.0, 0.5, 0.25, 0.1, 0.05, 0.02)
+MOST_TOKENS = 1024      # bound on kept tokens, most telling first
+TURNS, PACE, DECAY = 40, 0.5, 1e-4      # gradient steps, their length, weight decay
 TOLERANCE = 1e-4        # of all tokens, that a domain may miss its target by
 STEPS = 60
 CUT = 8                 # steps between written states
@@ -60,28 +60,69 @@ def sample_labels(labelled: DataFrame, domains: list[str], rows: int) -> tuple[D
     return known.where(draw < odds[F.col("domain")]), counts
 
 
-def token_table(present: DataFrame, domains: list[str]) -> DataFrame:
-    """``(doc_id, domain, bucket)`` of the sample -> ``(bucket, l0, l1, ...)`` of
-    the tokens that tell domains apart, ``MOST_TOKENS`` at most: what presence
-    adds to the log-likelihood; and row -1, what a text without any has."""
-    size = {r["domain"]: r["n"] for r in present.select("doc_id", "domain").distinct().groupBy("domain")
-            .agg(F.count(F.lit(1)).alias("n")).collect()}
+def telling(present: DataFrame, domains: list[str], size: dict[str, int]) -> list[int]:
+    """Buckets of ``(domain, bucket)``, a row for each text that has it, that
+    tell domains apart; ``MOST_TOKENS`` at most."""
     total = max(1, sum(size.values()))
-    seen = [F.sum((F.col("domain") == d).cast("long")) for d in domains]
-    counts = present.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), *[c.alias(f"n{k}") for k, c in enumerate(seen)])
-    chi2 = []
+    counts = present.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum((F.col("domain") == d).cast("long")).alias(f"n{k}") for k, d in enumerate(domains)])
+    chi2 = [F.lit(0.0)]
     for k, d in enumerate(domains):
         p = size.get(d, 0) / total
         expected = F.col("n") * p
         off = F.col(f"n{k}") - expected
         chi2.append(off * off / F.greatest(expected * (1 - p) * (total - F.col("n")) / total, F.lit(1e-9)))
-    told = counts.withColumn("chi2", F.greatest(*chi2, F.lit(0.0))).where(
+    told = counts.withColumn("chi2", F.greatest(*chi2) if domains else chi2[0]).where(
         (F.col("n") >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "bucket").limit(MOST_TOKENS)
-    rates = told.select("bucket", *[((F.col(f"n{k}") + 0.5) / (size.get(d, 0) + 1.0)).alias(f"l{k}")
-                                    for k, d in enumerate(domains)])
-    absent = rates.agg(*[F.coalesce(F.sum(F.log(1 - F.col(f"l{k}"))), F.lit(0.0)).alias(f"l{k}") for k in range(len(domains))])
-    present_only = rates.select("bucket", *[F.log(F.col(f"l{k}") / (1 - F.col(f"l{k}"))).alias(f"l{k}") for k in range(len(domains))])
-    return present_only.unionByName(absent.withColumn("bucket", F.lit(-1)))
+    return sorted(r["bucket"] for r in told.select("bucket").collect())
+
+
+def numbers(values):
+    """An array constant of the plan from one string, however long."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
+def summed(places: str, values):
+    """Sum of ``values`` at the places an array column lists."""
+    return F.aggregate(places, F.lit(0.0), lambda s, i: s + F.get(values, i))
+
+
+def learn(taught: DataFrame, domains: list[str]) -> tuple[list[int], list[list[float]]]:
+    """Buckets, -1 (which every text has) first, and a weight of each for each
+    domain, from ``(doc_id, domain, present)``."""
+    size = {r["domain"]: r["n"] for r in taught.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = taught.select("doc_id", "domain", F.explode("present").alias("bucket"))
+    buckets = [-1, *telling(rows, domains, size)]
+    weights = [[0.0] * len(buckets) for _ in domains]
+    if not size:
+        return buckets, weights
+    place = taught.sparkSession.range(1).select(
+        F.posexplode(F.split(F.lit(",".join(map(str, buckets))), ",").cast("array<int>")).alias("i", "bucket"))
+    texts = stored(taught.select("doc_id", "domain", F.explode(F.concat(F.array(F.lit(-1)), F.col("present"))).alias("bucket"))
+                   .join(F.broadcast(place), "bucket")      # at most MOST_TOKENS + 1 rows
+                   .groupBy("doc_id", "domain").agg(F.collect_list("i").alias("has")), "mixing-taught")
+    total, squares = sum(size.values()), [[1e-8] * len(buckets) for _ in domains]
+    for _ in range(TURNS):
+        z = [summed("has", numbers(w)) for w in weights]
+        scored = texts.select("domain", "has", *[v.alias(f"z{k}") for k, v in enumerate(z)])
+        p = softmax([F.col(f"z{k}") for k in range(len(domains))])
+        off = scored.select("has", *[(v - (F.col("domain") == d).cast("double")).alias(f"g{k}")
+                                     for k, (v, d) in enumerate(zip(p, domains))])
+        sums = off.select(F.explode("has").alias("i"), *[f"g{k}" for k in range(len(domains))]).groupBy("i").agg(
+            *[F.sum(f"g{k}").alias(f"g{k}") for k in range(len(domains))]).collect()      # one row a bucket
+        for r in sums:
+            for k in range(len(domains)):
+                g = r[f"g{k}"] / total + DECAY * weights[k][r["i"]]
+                squares[k][r["i"]] += g * g
+                weights[k][r["i"]] -= PACE * g / math.sqrt(squares[k][r["i"]])
+    return buckets, weights
+
+
+def softmax(z: list) -> list:
+    top = F.greatest(*z) if len(z) > 1 else z[0]
+    e = [F.exp(v - top) for v in z]
+    total = sum(e[1:], e[0])
+    return [v / total for v in e]
 
 
 def evidence(texts: DataFrame, table: DataFrame, n: int) -> DataFrame:
@@ -99,41 +140,21 @@ def evidence(texts: DataFrame, table: DataFrame, n: int) -> DataFrame:
         copies.alias("copies"), *[(F.sum(f"l{k}") / copies).alias(f"l{k}") for k in range(n)])
 
 
-def posterior(shares: list[float], temperature: float) -> list:
-    """Columns p0, p1, ... from the summed log-rates."""
-    z = [F.lit(math.log(max(s, 1e-12))) + F.col(f"l{k}") * temperature for k, s in enumerate(shares)]
-    top = F.greatest(*z) if len(z) > 1 else z[0]
-    e = [F.exp(v - top) for v in z]
-    total = sum(e[1:], e[0])
-    return [v / total for v in e]
-
-
 def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], rows: int = SAMPLE_ROWS) -> DataFrame:
     """``(doc_id, text_hash, tokens, copies, p0, p1, ...)`` of the documents
     ``(doc_id, text)``; ``labelled(doc_id, domain)`` names some of them."""
     n = len(domains)
     sample, counts = sample_labels(labelled, domains, rows)
-    total = sum(counts.values())
-    shares = [(counts.get(d, 0) + 1) / (total + n) for d in domains]
     taught = stored(docs.where("doc_id IS NOT NULL").join(F.broadcast(sample), "doc_id")    # at most rows x domains
-                    .select("doc_id", "text", "domain"), "mixing-sample")
-    held = F.pmod(F.xxhash64("doc_id", F.lit("held out")), F.lit(4)) == 0
-    buckets = taught.where(~held).select("doc_id", "domain", F.explode(_present(_tokens(F.col("text")))).alias("bucket"))
-    table = stored(token_table(buckets, domains), "mixing-tokens")
-    judged = stored(evidence(taught.where(held).select("doc_id", "text"), table, n)
-                    .join(F.broadcast(sample), "doc_id"), "mixing-held-out")
-    weight = [shares[k] * 1.0 for k in range(n)]
-    drawn = {r["domain"]: r["n"] for r in judged.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # held-out rows weigh as their domains do among all labelled rows
-    losses = []
-    for t in TEMPERATURES:
-        p = posterior(shares, t)
-        loss = sum((F.when(F.col("domain") == d, -F.log(F.greatest(p[k], F.lit(1e-12))) * weight[k] / drawn.get(d, 1)).otherwise(0.0)
-                    for k, d in enumerate(domains)), F.lit(0.0))
-        losses.append(F.sum(loss))
-    row = judged.agg(*[v.alias(f"t{k}") for k, v in enumerate(losses)]).first()
-    best = min(range(len(TEMPERATURES)), key=lambda k: (row[k] if row[k] is not None else 0.0, k))
-    p = posterior(shares, TEMPERATURES[best])
+                    .select("doc_id", "domain", _present(_tokens(F.col("text"))).alias("present")), "mixing-sample")
+    buckets, weights = learn(taught, domains)
+    table = docs.sparkSession.range(1).select(F.posexplode(F.arrays_zip(
+        numbers(buckets).cast("array<int>").alias("bucket"), *[numbers(w).alias(f"l{k}") for k, w in enumerate(weights)]))
+        .alias("i", "r")).select("r.*")
+    # from the sample's shares to those of all labelled rows
+    total = sum(counts.values())
+    shift = [math.log((counts.get(d, 0) + 1) / (total + n)) - math.log((min(counts.get(d, 0), rows) + 1)) for d in domains]
+    p = softmax([F.col(f"l{k}") + s for k, s in enumerate(shift)])
     return evidence(docs, table, n).select("doc_id", "text_hash", "tokens", "copies",
                                            *[v.alias(f"p{k}") for k, v in enumerate(p)])
 
