@@ -115,7 +115,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
         task, made, segment = TaskContext.get().partitionId(), 0, None
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", min(4 << 20, 4 * segment_words)):
                 if segment is None:
                     segment = _Segment((task << 32) + made)
                 segment.add(part.column("doc_id"), part.column("text_hash"), part.column("text"))
@@ -140,20 +140,21 @@ def windows(items: DataFrame, item_id: str = "item_id", text: str = "text", size
             .select("item_id", F.explode(F.transform(begins, lambda k: F.slice("words", k, size))).alias("words")))
 
 
-def starts_of(window: np.ndarray, cf: np.ndarray, lists, slop: int = 0) -> tuple[np.ndarray, np.ndarray, int]:
-    """Starts in a segment where a window stands exactly, starts where every
-    word is within ``slop`` of its place (the former among them), and the
-    offset of the rarest word, which always stands in its place.  ``window``
-    has term numbers, ``lists(term)`` their sorted positions."""
+def starts_of(window: np.ndarray, cf: np.ndarray, lists, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Starts in a segment where a window stands exactly, and starts where its
+    first word stands and every other is within ``slop`` of its place (the
+    former among them).  ``window`` has term numbers, ``lists(term)`` their
+    sorted positions."""
     order = np.argsort(cf[window], kind="stable")
-    near = exact = lists(window[order[0]]) - int(order[0])
+    exact = lists(window[order[0]]) - int(order[0])
+    near = exact if order[0] == 0 or not slop else np.unique(exact[:, None] + np.arange(-slop, slop + 1))
     for k in order[1:]:
         if not len(near):
             break
         found = lists(window[k]) - int(k)
         exact = exact[_member(found, exact)]
-        near = near[_within(found, near, slop)] if slop else exact
-    return exact, near, int(order[0])
+        near = exact if not slop else near[_member(found, near) if k == 0 else _within(found, near, slop)]
+    return exact, near
 
 
 def _member(sorted_list: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -170,8 +171,8 @@ def search(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: s
            size: int = WINDOW, slop: int = 0, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Matches ``(segment, doc_ord, item_id, kind, start, end)``: maximal runs
     of document words (``end`` exclusive) inside windows of the item, kind
-    ``phrase``; with ``slop`` also kind ``near``, the places where all words of
-    a window stand at most ``slop`` off."""
+    ``phrase``; with ``slop`` also kind ``near``, runs that begin with a
+    window's first word and have all others at most ``slop`` off."""
     if size + slop >= GAP:
         raise ValueError(f"window and slop must be under {GAP} words together")
     spark = index.sparkSession
@@ -218,13 +219,13 @@ def _search_block(spark, index: DataFrame, taken, slop: int) -> DataFrame:
         for item, window in wanted:
             if cf[window].min() == 0:
                 continue
-            exact, near, rarest = starts_of(window, cf, held.__getitem__, slop)
+            exact, near = starts_of(window, cf, held.__getitem__, slop)
             for kind, places in (("phrase", exact), ("near", near if slop else exact[:0])):
                 if len(places):
-                    doc = np.searchsorted(bases, places + rarest, side="right") - 1
+                    doc = np.searchsorted(bases, places, side="right") - 1
                     start = places - bases[doc]
                     out["doc_ord"].append(doc)
-                    out["start"].append(np.maximum(start, 0))
+                    out["start"].append(start)
                     out["end"].append(start + len(window))
                     out["item_id"] += [item] * len(places)
                     out["kind"] += [kind] * len(places)
