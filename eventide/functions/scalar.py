@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,24 +16,29 @@ _UNITS_US = {
 }
 
 
+_PART = re.compile(r"\s*([+-]?\d+(?:\.\d+)?)\s*([a-zA-Z]+)\s*")
+_SHORT = {"ms": "millisecond", "milli": "millisecond", "us": "microsecond", "sec": "second", "min": "minute"}
+
+
 def parse_duration_us(d: str | int) -> int:
-    """'6 hours' / '15 minutes' / '1 day 2 hours' / int microseconds → µs."""
+    """'6 hours' / '1.5 seconds' / '1 day 2 hours' / int microseconds → µs.
+    The whole text must be numbers with units; fractions are for seconds
+    only, to the microsecond, as in Spark's intervals."""
     if isinstance(d, int):
         return d
-    total = 0
-    for n, unit in re.findall(r"(-?\d+)\s*([a-zA-Z]+)", d):
-        u = unit.lower().rstrip("s")
-        if u in ("ms", "milli"):
-            u = "millisecond"
-        if u in ("sec",):
-            u = "second"
-        if u in ("min",):
-            u = "minute"
+    total, at = 0, 0
+    while at < len(d) or not d:
+        m = _PART.match(d, at)
+        if not m:
+            raise ValueError(f"bad duration {d!r}")
+        u = m[2].lower()
+        u = _SHORT.get(u) or _SHORT.get(u.rstrip("s")) or u.rstrip("s")
         if u not in _UNITS_US:
             raise ValueError(f"unknown duration unit in {d!r}")
-        total += int(n) * _UNITS_US[u]
-    if total == 0 and not re.search(r"\d", d):
-        raise ValueError(f"bad duration {d!r}")
+        n = Decimal(m[1]) * _UNITS_US[u]
+        if "." in m[1] and u != "second" or n != int(n):
+            raise ValueError(f"a fraction of a {u} in {d!r}")
+        total, at = total + int(n), m.end()
     return total
 
 

@@ -53,7 +53,6 @@ def threshold_alert(data: DataFrame, updates: DataFrame, key="id", field: str =
     adds ``threshold`` and ``diff`` (abs change) for rows above threshold.
     """
     keys = _keys(key)
-    chunk = resolve_chunking(data, keys, ts, chunk)
     tagged = asof_lookup(data, updates, keys, ts, seq, ["threshold"], chunk=chunk)
     active = tagged.where(F.col("threshold").isNotNull() & (F.col("threshold") != 0.0))
     s = scan(active, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk)

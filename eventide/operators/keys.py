@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-
 
 def key_columns(df: DataFrame, *spec) -> list[Column]:
     """Key by position (int), field name, nested path (``"address.zip"``),
@@ -38,11 +36,11 @@ def key_by(df: DataFrame, *spec, name: str = "key") -> DataFrame:
     return df.withColumn(name, key)
 
 
-def shuffle_random(df: DataFrame, n: int, seed: int = 7) -> DataFrame:
-    """Random redistribution.  The target partition is a seeded hash of the
-    row's content, not ``rand()``: a retried task sends every row to the
-    same place again, so no row is lost or doubled when an executor dies."""
-    return df.repartition(n, F.xxhash64(F.lit(seed), *[F.col(c) for c in df.columns]))
+def shuffle_random(df: DataFrame, n: int) -> DataFrame:
+    """Even redistribution whatever the rows hold, equal rows included.
+    Spark orders each partition before it deals round-robin, so a retried
+    task sends every row to the same place again."""
+    return df.repartition(n)
 
 
 def rebalance(df: DataFrame, n: int) -> DataFrame:
@@ -72,35 +70,7 @@ def custom_partition(df: DataFrame, n: int, partition_of: Column) -> DataFrame:
     return df.repartitionById(n, F.pmod(partition_of, F.lit(n)).cast("int"))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate of a DataFrame (no job runs)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
-
-
-def broadcast_if_small(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    """Broadcast hint only when the estimated size is under ``limit``;
-    otherwise the join stays a shuffle join (AQE may still switch it at run
-    time from measured sizes)."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
 def with_parallelism(df: DataFrame, n: int) -> DataFrame:
     """Per-step parallelism; the session default is
     ``spark.sql.shuffle.partitions``."""
     return df.repartition(n)
-
-
-SMALL_INPUT_BYTES = 1 << 30
-
-
-def spread_small_input(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> DataFrame:
-    """Spread a *small* input over all cores before CPU-heavy row work (a
-    one-row-group parquet file is read by a single task).  Size-checked: an
-    input above ``limit`` is left alone, as large inputs come in many splits
-    and a redistribution would only add a full shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if estimated_bytes(df) <= limit and df.rdd.getNumPartitions() <= cores:
-        return df.repartition(cores)
-    return df

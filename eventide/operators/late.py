@@ -9,11 +9,11 @@ It is a chunked global scan over the arrival order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
-from eventide.operators.scan import Scan, scan
+from eventide.operators.scan import Scan, same, scan
 from eventide.operators.windows import window_rows
 
 
@@ -54,28 +54,24 @@ def lateness_firings(tagged: DataFrame, key, arrival: str, seq: str) -> DataFram
     the on-time rows, then one ``update`` per allowed-late row (count so
     far).  Output: keys, window_end, firing, cnt, kind.
 
-    On-time rows are only counted (partial aggregation); late rows are
-    ranked per window; the two are combined through a small window over
-    their union instead of a join, so ``tagged`` is consumed twice.
-    """
+    On-time rows are only counted (partial aggregation).  Late rows are
+    numbered per window by the chunked scan, so a window with many of them is
+    no single task's work, and meet their window's count in a join."""
     keys = [key] if isinstance(key, str) else list(key or [])
     on = keys + ["window_start", "window_end"]
     first = (tagged.where(F.col("fate") == "on_time").groupBy(*on)
-             .agg(F.count(F.lit(1)).alias("__n0"))
-             .select(*on, "__n0", F.lit(0).alias("__k")))
-    wl = Window.partitionBy(*on).orderBy(arrival, seq)
-    late = (tagged.where(F.col("fate") == "late_allowed")
-            .select(*on, F.lit(None).cast("long").alias("__n0"), F.row_number().over(wl).alias("__k")))
-    u = first.unionByName(late)
-    u = u.withColumn("__n0w", F.max("__n0").over(Window.partitionBy(*on)))
-    had = F.col("__n0w").isNotNull()
-    k = F.col("__k")
+             .agg(F.count(F.lit(1)).alias("__n0")))
+    late = scan(tagged.where(F.col("fate") == "late_allowed").select(*on, arrival, seq),
+                on, arrival, [seq], [Scan("__k", "count", F.lit(1))])
+    late = late.alias("l").join(first.alias("r"), same(on), "left").select("l.*", "r.__n0")
+    had, k = F.col("__n0").isNotNull(), F.col("__k")
     # a window whose first row is already late fires first on that row
-    return u.select(
-        *keys, "window_end",
-        F.when(had | (k == 0), k).otherwise(k - 1).alias("firing"),
-        (F.coalesce(F.col("__n0w"), F.lit(0)) + k).alias("cnt"),
-        F.when(k == 0, "first").when(had | (k > 1), "update").otherwise("first").alias("kind"))
+    updates = late.select(
+        *keys, "window_end", F.when(had, k).otherwise(k - 1).alias("firing"),
+        (F.coalesce(F.col("__n0"), F.lit(0)) + k).alias("cnt"),
+        F.when(had | (k > 1), "update").otherwise("first").alias("kind"))
+    return first.select(*keys, "window_end", F.lit(0).cast("long").alias("firing"), F.col("__n0").alias("cnt"),
+                        F.lit("first").alias("kind")).unionByName(updates)
 
 
 def backfill(published: DataFrame, late_rows: DataFrame, all_rows: DataFrame, key, ts: str,
@@ -84,14 +80,14 @@ def backfill(published: DataFrame, late_rows: DataFrame, all_rows: DataFrame, ke
     (over all rows of those windows) and merge them into the published
     results, replacing the published row of each touched (key, window).
 
-    The touched-window list is a distinct projection of the late rows; the
-    recomputation is a semi-join of the rows on it, so the work grows with
-    the late data, not with the history."""
+    The touched-window list is a distinct projection of the late rows; only
+    rows of touched windows are aggregated again.  All rows are read once to
+    find them, and the published table is written anew."""
     keys = [key] if isinstance(key, str) else list(key or [])
     on = keys + ["window_end"]
     touched = window_rows(late_rows, ts, size).select(*on).distinct()
     rows = window_rows(all_rows, ts, size)
-    fixed = (rows.join(touched, on, "left_semi")
+    fixed = (rows.alias("l").join(touched.alias("r"), same(on), "left_semi")
              .groupBy(*keys, "window_start", "window_end").agg(*aggs).drop("window_start"))
-    kept = published.join(touched, on, "left_anti")
+    kept = published.alias("l").join(touched.alias("r"), same(on), "left_anti")
     return kept.unionByName(fixed.select(*published.columns))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
 from eventide.operators.alerts import runs_of
+from eventide.operators.scan import same
 from eventide.operators.windows import window_rows
 
 
@@ -94,5 +95,5 @@ def evict_older_than(rows: DataFrame, group: list[str], ts: str, keep: str) -> D
     """Time evictor: keep rows within ``keep`` of the group's newest row."""
     keep_us = parse_duration_us(keep)
     newest = rows.groupBy(*group).agg(F.max(epoch_micros(ts)).alias("__newest"))
-    j = rows.join(newest, group, "inner")
+    j = rows.alias("l").join(newest.alias("r"), same(group)).select("l.*", "r.__newest")
     return j.where(epoch_micros(ts) >= F.col("__newest") - keep_us).drop("__newest")

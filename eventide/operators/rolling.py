@@ -27,11 +27,12 @@ def rolling_sum(df: DataFrame, key, field: str, ts: str = "ts", seq: str = "seq"
     return r.withColumn(out, F.col("__rs")).drop("__rs")
 
 
-def _rolling_keep_first(df, keys, field, ts, seq, kind, chunk):
+def _rolling_keep_first(df, keys, field, ts, seq, kind, chunk, current=()):
     """``min``/``max`` of one field; every other non-key field keeps the
     value of the key's first row (the record state starts as the first row
-    and only the aggregated field is replaced)."""
-    others = [c for c in df.columns if c not in keys and c != field]
+    and only the aggregated field is replaced).  Columns in ``current`` keep
+    the value of the row being processed (e.g. an arrival id)."""
+    others = [c for c in df.columns if c not in keys and c != field and c not in current]
     specs = [Scan("__agg", kind, field)]
     specs += [Scan(f"__first_{c}", "first", c) for c in others]
     r = scan(df, keys, ts, [seq], specs, chunk=chunk)
@@ -46,12 +47,12 @@ def _rolling_keep_first(df, keys, field, ts, seq, kind, chunk):
     return r.select(*sel)
 
 
-def rolling_min(df, key, field="temperature", ts="ts", seq="seq", chunk=None):
-    return _rolling_keep_first(df, _keys(key), field, ts, seq, "min", chunk)
+def rolling_min(df, key, field="temperature", ts="ts", seq="seq", chunk=None, current=()):
+    return _rolling_keep_first(df, _keys(key), field, ts, seq, "min", chunk, tuple(current))
 
 
-def rolling_max(df, key, field="temperature", ts="ts", seq="seq", chunk=None):
-    return _rolling_keep_first(df, _keys(key), field, ts, seq, "max", chunk)
+def rolling_max(df, key, field="temperature", ts="ts", seq="seq", chunk=None, current=()):
+    return _rolling_keep_first(df, _keys(key), field, ts, seq, "max", chunk, tuple(current))
 
 
 def _rolling_by(df, keys, field, ts, seq, kind, chunk, current=()):

@@ -4,45 +4,45 @@ Rolling aggregates, previous-row lookups, as-of lookups and sessions all need
 rows of one key in event-time order.  A plain ``Window.partitionBy(key)``
 puts every row of a key into one task, so a key holding a third of the data
 becomes a single straggler task.  Here the order is cut into contiguous
-time chunks:
+chunks:
 
 1. *local*: a window over ``(key, chunk)`` ordered by ``(ts, tiebreak)``;
    each task sees one bounded chunk.
 2. *carry*: a partial/final aggregate per ``(key, chunk)`` (map-side
    combined, one row per chunk), then an exclusive prefix over the chunks of
    each key.  This table has one row per chunk, not per event.
-3. *combine*: join the carry back on ``(key, chunk)`` (the big side is
-   already hash-partitioned on those columns) and merge carry with local.
-
-Every combine here is associative, so the result equals the single-pass scan.
-
-Chunk widths are chosen per key (:func:`resolve_chunking`): one job counts
-rows per key; only keys with more than ``targetRowsPerChunk`` rows are cut
-finer, through a small broadcast table whose size is bounded by
-``rows / targetRowsPerChunk``.  Every other key is one chunk, so the carry
-table holds about one row per key, not per event.  With no hot key at all
-the carry branch is skipped.
+3. *combine*: join the carry back on ``(key, chunk)``, NULL equal to NULL
+   (the big side is already hash-partitioned on those columns), and merge
+   carry with local.
+
+Every combine here is associative, so the result equals the single-pass scan
+whatever the cuts are.  Rows with a NULL key form one key, rows with a NULL
+time come before all others of their key.
+
+Cuts are row quantiles (:func:`resolve_chunking`): a key with more than
+``targetRowsPerChunk`` rows is cut at the approximate quantiles of its own
+event times, so bursts and outliers do not unbalance the chunks; every other
+key is one chunk.  An order without a key is cut at the quantiles of all rows,
+into at least as many chunks as there are shuffle partitions.  Rows of a key
+with equal times are one chunk.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, parse_duration_us
 
-_STATS_CACHE: dict = {}
-# Chunk width meaning "the whole order is one chunk": no carry is needed.
-SINGLE_CHUNK = 0
-
-CHUNK_CONF = "eventide.scan.chunk"
-TARGET_ROWS_CONF = "eventide.scan.targetRowsPerChunk"
+CHUNK_CONF = "spark.eventide.scan.chunk"
+TARGET_ROWS_CONF = "spark.eventide.scan.targetRowsPerChunk"
 DEFAULT_TARGET_ROWS = 4_000_000
-# Share of all rows a single key may hold (plan for one hot key).
-HOT_KEY_SHARE = 1.0 / 3.0
+#: A table of cuts is broadcast up to this size and shuffle-joined beyond it.
+BROADCAST_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -64,131 +64,111 @@ def _c(e) -> Column:
     return F.col(e) if isinstance(e, str) else e
 
 
-def resolve_chunk_us(df: DataFrame, ts: str, chunk=None, share: float = HOT_KEY_SHARE) -> int:
-    """Width of a time chunk in microseconds.
-
-    ``chunk`` may be a duration ("1 day"), an int of µs, or "auto"/None.
-    Auto reads one cheap global aggregate (row count and time span, no
-    shuffle) and sizes chunks so that a key holding a third of all rows
-    still gets chunks of about ``targetRowsPerChunk`` rows.
-    """
-    spark = df.sparkSession
-    if chunk is None:
-        chunk = spark.conf.get(CHUNK_CONF, "auto")
-    if isinstance(chunk, int):  # already resolved (SINGLE_CHUNK = 0 included)
-        return chunk
-    if chunk != "auto":
-        return max(1, parse_duration_us(chunk))
-    target = int(spark.conf.get(TARGET_ROWS_CONF, str(DEFAULT_TARGET_ROWS)))
-    probe = df.agg(F.count(F.lit(1)).alias("n"), F.min(epoch_micros(ts)).alias("lo"),
-                   F.max(epoch_micros(ts)).alias("hi"))
-    # The width only sizes tasks (results never depend on it), so the stats
-    # of one input plan are computed once per session.
-    cache_key = (probe._jdf.queryExecution().analyzed().semanticHash(), target, share)
-    row = _STATS_CACHE.get(cache_key)
-    if row is None:
-        row = probe.first()
-        _STATS_CACHE[cache_key] = row
-    if not row or row["n"] == 0 or row["lo"] is None:
-        return 86_400_000_000
-    span = row["hi"] - row["lo"] + 1
-    n_chunks = max(1, math.ceil(row["n"] * share / target))
-    if n_chunks == 1:
-        return SINGLE_CHUNK
-    width = max(1_000_000, span // n_chunks)
-    # round down to a power of two seconds so plans are stable across runs
-    return 1_000_000 * (1 << int(math.log2(max(1, width // 1_000_000))))
-
-
-# Above this many hot keys the per-key table is not broadcast; a uniform
-# width sized for the hottest key is used instead.
-MAX_HOT_KEYS = 2_000_000
+def same(columns) -> Column:
+    """Join condition of frames aliased ``l`` and ``r``: equal columns, NULL
+    equal to NULL."""
+    return reduce(lambda x, y: x & y, [F.col(f"l.`{c}`").eqNullSafe(F.col(f"r.`{c}`")) for c in columns])
 
 
 @dataclass
 class Chunking:
-    """How rows are cut into ordered chunks: a uniform width (``width``;
-    SINGLE_CHUNK = one chunk per key) or per-key widths for hot keys
-    (``hot``: key columns + ``__w``, all other keys one chunk)."""
+    """How rows are cut into ordered chunks: at uniform ``width`` µs, at the
+    quantiles ``cuts`` of one order, or at per-key quantiles (``hot``: keys
+    and ``__cuts``; other keys are one chunk; ``small``: it may be broadcast).
+    None of them: one chunk for each key."""
     width: int | None = None
+    cuts: Column | None = None
     hot: DataFrame | None = None
+    small: bool = True
     keys: tuple = ()
 
     @property
     def single(self) -> bool:
-        return self.hot is None and self.width == SINGLE_CHUNK
+        return self.width is None and self.cuts is None and self.hot is None
 
     def apply(self, df: DataFrame, ts: str) -> DataFrame:
-        meta = {"single": self.single}
-        if self.hot is None:
-            return df.withColumn("__chunk", chunk_col(ts, self.width).alias("__chunk", metadata=meta))
-        j = df.join(F.broadcast(self.hot), list(self.keys), "left")
-        c = F.when(F.col("__w").isNull(), F.lit(0).cast("long")).otherwise(
-            F.floor(epoch_micros(ts) / F.col("__w")).cast("long"))
-        return j.withColumn("__chunk", c.alias("__chunk", metadata=meta)).drop("__w")
+        t = epoch_micros(ts)
+        if self.width is not None:
+            chunk = F.floor(t / F.lit(self.width)).cast("long")
+        elif self.cuts is not None:
+            df, chunk = df.withColumn("__cuts", self.cuts), cuts_before(t)
+        elif self.hot is not None:
+            hot = self.hot if not self.small else F.broadcast(self.hot)
+            df = df.alias("l").join(hot.alias("r"), same(self.keys), "left").select("l.*", "r.__cuts")
+            chunk = F.when(F.col("__cuts").isNull(), F.lit(0).cast("long")).otherwise(cuts_before(t))
+        else:
+            chunk = F.lit(0).cast("long")
+        out = df.withColumn("__chunk", chunk.alias("__chunk", metadata={"single": self.single})).drop("__cuts")
+        if self.hot is not None and not self.small:
+            # else the windows would reuse the join's partitioning, whole keys
+            out = out.repartition(*self.keys, "__chunk")
+        return out
+
 
+def cuts_before(t: Column) -> Column:
+    """How many of the sorted ``__cuts`` are at or before ``t`` (NULL for a
+    NULL time), by bisection."""
+    n = F.size("__cuts")
+    start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
+    turns = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int") + 1)
 
-def _pow2_seconds(us: Column) -> Column:
-    """Round a width in µs down to a power of two seconds (at least 1 s)."""
-    secs = F.greatest(F.lit(1.0), us / 1_000_000)
-    return (F.pow(F.lit(2.0), F.floor(F.log2(secs))) * 1_000_000).cast("long")
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        below = F.get(F.col("__cuts"), mid) <= t
+        return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(
+            F.when(below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(below, s["hi"]).otherwise(mid).alias("hi")))
+
+    found = F.aggregate(turns, start, halve, lambda s: s["lo"].cast("long"))
+    return F.when(t.isNotNull(), F.when(n > 0, found).otherwise(F.lit(0).cast("long")))
+
+
+def _quantiles(t: Column, parts: int) -> Column:
+    """Sorted distinct cuts of ``t`` into ``parts`` parts of like row counts."""
+    at = [k / parts for k in range(1, parts)]
+    return F.array_distinct(F.coalesce(F.percentile_approx(t, at, 10 * parts), F.array().cast("array<bigint>")))
 
 
 def resolve_chunking(df: DataFrame, keys: list[str], ts: str, chunk=None) -> Chunking:
     """Chunking for a scan over ``df`` keyed by ``keys``.
 
-    Explicit widths (duration, µs, or ``eventide.scan.chunk``) are uniform.
-    Auto: a global order is cut uniformly by :func:`resolve_chunk_us`; a
-    keyed order gets per-key widths from one stats job (cached per input
-    plan: widths only size tasks, results never depend on them).
+    Explicit widths (duration, µs, or ``spark.eventide.scan.chunk``) are
+    uniform.  Auto: a keyed order is probed by one job that counts rows per
+    key and brings three numbers to the driver; the cuts of its hot keys and
+    those of a keyless order are worked out inside the query.
     """
     if isinstance(chunk, Chunking):
         return chunk
-    spark = df.sparkSession
+    spark, t = df.sparkSession, epoch_micros(ts)
     if chunk is None:
         chunk = spark.conf.get(CHUNK_CONF, "auto")
-    if chunk != "auto" or not keys:
-        return Chunking(width=resolve_chunk_us(df, ts, chunk, 1.0 if not keys else HOT_KEY_SHARE),
-                        keys=tuple(keys))
+    if chunk != "auto":
+        return Chunking(width=max(1, parse_duration_us(chunk)), keys=tuple(keys))
     target = int(spark.conf.get(TARGET_ROWS_CONF, str(DEFAULT_TARGET_ROWS)))
-    t = epoch_micros(ts)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"),
-                                    F.max(t).alias("__hi"))
-    probe = per_key.agg(F.sum(F.when(F.col("__n") > target, 1).otherwise(0)).alias("n_hot"),
-                        F.max("__n").alias("max_n"), F.min("__lo").alias("lo"), F.max("__hi").alias("hi"))
-    cache_key = ("keyed", probe._jdf.queryExecution().analyzed().semanticHash(), target)
-    row = _STATS_CACHE.get(cache_key)
-    if row is None:
-        row = probe.first()
-        _STATS_CACHE[cache_key] = row
-    if not row or not row["n_hot"]:
-        return Chunking(width=SINGLE_CHUNK, keys=tuple(keys))
-    if row["n_hot"] > MAX_HOT_KEYS:
-        span = row["hi"] - row["lo"] + 1
-        width = max(1_000_000, span // math.ceil(row["max_n"] / target))
-        return Chunking(width=1_000_000 * (1 << int(math.log2(max(1, width // 1_000_000)))),
-                        keys=tuple(keys))
-    # at most rows / target keys can exceed the target: a proven size bound
-    hot = (per_key.where(F.col("__n") > target)
-           .select(*keys, _pow2_seconds((F.col("__hi") - F.col("__lo") + 1)
-                                        / F.ceil(F.col("__n") / F.lit(target))).alias("__w")))
-    return Chunking(hot=hot, keys=tuple(keys))
-
-
-def chunk_col(ts: str, chunk_us: int) -> Column:
-    if chunk_us == SINGLE_CHUNK:
-        return F.lit(0).cast("long")
-    return F.floor(epoch_micros(ts) / F.lit(chunk_us)).cast("long")
+    if not keys:
+        parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return Chunking(cuts=df.agg(_quantiles(t, parts).alias("c")).scalar())
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > target)
+    key_bytes = F.length(F.to_json(F.struct(*keys))).cast("long")
+    row = per_key.agg(F.count(F.lit(1)).alias("hot"), F.max("__n").alias("most"), F.sum(key_bytes).alias("bytes")).first()
+    if not row["hot"]:
+        return Chunking(keys=tuple(keys))
+    parts = math.ceil(row["most"] / target)
+    rows = df.select(*keys, t.alias("__t")).alias("l").join(per_key.alias("r"), same(keys)).select("l.*", "r.__n")
+    cuts = rows.groupBy(*keys).agg(_quantiles(F.col("__t"), parts).alias("__cuts"), F.max("__n").alias("__n"))
+    # of the finest grid a key takes every k-th cut, to get chunks of about the target
+    every = F.greatest(F.floor(F.lit(parts) * target / F.col("__n")).cast("int"), F.lit(1))
+    taken = F.filter("__cuts", lambda c, i: (i + 1) % F.col("__every") == 0)
+    hot = cuts.withColumn("__every", every).select(*keys, taken.alias("__cuts"))
+    size = (row["bytes"] or 0) + row["hot"] * 8 * parts
+    return Chunking(hot=hot, small=size <= BROADCAST_BYTES, keys=tuple(keys))
 
 
 def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
-         specs: list[Scan], chunk=None, chunk_us: int | None = None,
-         keep_chunk: bool = False) -> DataFrame:
+         specs: list[Scan], chunk=None, keep_chunk: bool = False) -> DataFrame:
     """Add one column per :class:`Scan`, computed in ``(ts, *tiebreak)``
     order within each key (``keys`` may be empty: one global order).
 
-    Keys must not be NULL (as for any keyed stream).  With ``keep_chunk``
-    the ``__chunk`` column stays on the output, and a following scan over
+    With ``keep_chunk`` the ``__chunk`` column stays on the output, and a following scan over
     the same keys reuses it, so its window needs no new shuffle.
     """
     order = [F.col(ts)] + [F.col(t) for t in tiebreak]
@@ -198,8 +178,7 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
         base = df
         single = bool(df.schema["__chunk"].metadata.get("single"))
     else:
-        plan = (Chunking(width=chunk_us, keys=tuple(keys)) if chunk_us is not None
-                else resolve_chunking(df, list(keys), ts, chunk))
+        plan = resolve_chunking(df, list(keys), ts, chunk)
         single = plan.single
         base = plan.apply(df, ts)
 
@@ -275,5 +254,6 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
              .select(*part, *carry_cols))
     # equi-join on (key, chunk): the big side is already hash-partitioned on
     # exactly these columns by its window, so only the carry table moves
-    joined = local.join(carry, part, "left")
-    return joined.select(*out_cols, *finals)
+    joined = local.alias("l").join(carry.alias("r"), same(part), "left")
+    carried = [c for c in carry.columns if c not in part]
+    return joined.select("l.*", *[f"r.{c}" for c in carried]).select(*out_cols, *finals)

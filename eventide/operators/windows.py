@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
-from eventide.operators.scan import Scan, resolve_chunking, scan
+from eventide.operators.scan import Scan, resolve_chunking, same, scan
 
 
 def _keys(key) -> list[str]:
@@ -54,6 +54,24 @@ def window_agg(df: DataFrame, key, ts: str, size: str, aggs: list[Column],
     return _flatten_window(out)
 
 
+def window_median(df: DataFrame, key, ts: str, size: str, value: str, out: str) -> DataFrame:
+    """Exact median per key and tumbling window.  Values are counted first
+    (partial aggregation), then ranked over the counts: a sort that spills,
+    never a buffer of a group's rows."""
+    keys = _keys(key)
+    on = keys + ["window_start", "window_end"]
+    counts = window_agg(df, keys + [value], ts, size, [F.count(value).alias("__c")])
+    w = Window.partitionBy(*on)
+    upto = F.sum("__c").over(w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("__upto", upto).withColumn("__n", F.sum("__c").over(w))
+
+    def at(rank):
+        return F.max(F.when((F.col("__upto") >= rank) & (F.col("__upto") - F.col("__c") < rank), F.col(value)))
+
+    low, high = F.floor((F.col("__n") + 1) / 2), F.floor(F.col("__n") / 2) + 1
+    return ranked.groupBy(*on).agg(((at(low) + at(high)) / 2).alias(out))
+
+
 def _gapped_sliding(df, keys, ts, size, slide, aggs, offset):
     size_us = parse_duration_us(size)
     w = tumbling(ts, slide, offset).alias("window")
@@ -133,7 +151,7 @@ def sessions(df: DataFrame, key, ts: str, gap: str, aggs: list[Column],
         F.coalesce(F.sum("__starts").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         + F.col("__s") - 1)
     summary = summary.select(*part, "__base")
-    joined = local.join(summary, part, "inner")
+    joined = local.alias("l").join(summary.alias("r"), same(part)).select("l.*", "r.__base")
     joined = joined.withColumn("__sid", F.col("__base") + F.col("__lidx"))
     out = joined.groupBy(*keys, "__sid").agg(
         F.min("__t").alias("__ws"), (F.max("__t") + F.lit(gap_us)).alias("__we"), *aggs)

@@ -23,5 +23,4 @@ def word_count(lines: DataFrame, col: str = "line", sep: str = " ") -> DataFrame
 def document_word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """Word count over documents read line by line, as a text file source
     would present them."""
-    from eventide.operators.keys import spread_small_input
-    return word_count(text_lines(spread_small_input(docs.select(text_col)), text_col), "line")
+    return word_count(text_lines(docs.select(text_col), text_col), "line")

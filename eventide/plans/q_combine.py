@@ -88,7 +88,7 @@ def window_cogroup(spark, sf):
                       z(r6("purchase_temp"), F.lit(0.0)).alias("purchase_temp"))
 
 
-@register("fire_alert", "CON4 BRD1 PRT4", """
+@register("fire_alert", "CON4 BRD1", """
 WITH u AS (
   SELECT user_id, ts, event_id, value, 1 AS side, NULL AS level FROM events
   WHERE event_type NOT IN ('error', 'view')

@@ -101,7 +101,7 @@ m AS (SELECT *, max(ts) OVER (ORDER BY arrival, event_id
                 AS wm FROM a)"""
 
 
-@register("late_rows", "LAT3 LAT1 WMK1 WMK3 TIM3", f"""
+@register("late_rows", "LAT3 LAT1 WMK1 WMK3", f"""
 WITH {_WM_SQL}
 SELECT user_id AS id, event_id AS seq, ts, arrival, wm AS wm_before FROM m WHERE ts < wm""")
 def late_rows(spark, sf):
@@ -156,7 +156,7 @@ def allowed_lateness(spark, sf):
                       F.col("cnt").cast("long").alias("cnt"), "kind")
 
 
-@register("late_backfill", "LAT6 SNK7", """
+@register("late_backfill", "LAT6", """
 SELECT event_type, make_timestamp(CAST((floor(epoch_us(ts) / 3600000000) + 1) * 3600000000 AS BIGINT))
        AS window_end, count(*) AS cnt
 FROM events GROUP BY 1, 2""")

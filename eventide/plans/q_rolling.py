@@ -33,16 +33,11 @@ def rolling_min(spark, sf):
     """``keyBy(id).min(temperature)``: temperature is the running minimum,
     the other fields stay those of the sensor's first reading.  ``at_seq``
     names the input row that produced the output row."""
-    return _with_at_seq(events(spark, sf), "min")
+    return R.rolling_min(_with_at_seq(events(spark, sf)), "id", current=("at_seq",))
 
 
-def _with_at_seq(r, kind):
-    from eventide.operators.scan import Scan, scan
-    specs = [Scan("__agg", kind, "temperature"), Scan("__fts", "first", "ts"),
-             Scan("__fseq", "first", "seq")]
-    s = scan(r, ["id"], "ts", ["seq"], specs)
-    return s.select("id", F.col("__fts").alias("ts"), F.col("__agg").alias("temperature"),
-                    F.col("__fseq").alias("seq"), F.col("seq").alias("at_seq"))
+def _with_at_seq(r):
+    return r.withColumn("at_seq", F.col("seq"))
 
 
 @register("rolling_max", "AGG3", f"""
@@ -50,7 +45,7 @@ SELECT user_id AS id, {_first('ts')} AS ts, max(value) OVER ({_W}) AS temperatur
        {_first('event_id')} AS seq, event_id AS at_seq
 FROM events""")
 def rolling_max(spark, sf):
-    return _with_at_seq(events(spark, sf), "max")
+    return R.rolling_max(_with_at_seq(events(spark, sf)), "id", current=("at_seq",))
 
 
 @register("rolling_min_by", "AGG4", f"""
@@ -75,7 +70,7 @@ def rolling_max_by(spark, sf):
     return out.select("id", "ts", "temperature", "seq", "at_seq")
 
 
-@register("rolling_reduce", "AGG6 AGG9 FN6", f"""
+@register("rolling_reduce", "AGG6 FN6", f"""
 SELECT user_id AS id, ts, min(value) OVER ({_W}) AS temperature, event_id AS seq FROM events""")
 def rolling_reduce(spark, sf):
     """``reduce((a, b) => (a.id, b.ts, min(a.t, b.t)))``."""

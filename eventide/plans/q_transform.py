@@ -22,7 +22,7 @@ def map_celsius(spark, sf):
                       temperature_c=F.round(f_to_c("temperature"), 6))
 
 
-@register("map_label", "PRJ4 FN4 UDF2", """
+@register("map_label", "PRJ4 FN4", """
 SELECT CAST(user_id AS VARCHAR) || ' temperature' AS label, event_id AS seq FROM events""")
 def map_label(spark, sf):
     r = events(spark, sf)
@@ -40,7 +40,7 @@ def reading_text_q(spark, sf):
     return r.select(reading_text(F.col("id"), secs, F.col("temperature")).alias("text"))
 
 
-@register("parse_readings", "SRC2 SRC3 FN1 FN2 FN3 FN9", """
+@register("parse_readings", "SRC3 FN1 FN2 FN3 FN9", """
 SELECT CAST(user_id AS VARCHAR) AS id,
        make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000) AS ts,
        value AS temperature FROM events""")
@@ -116,7 +116,7 @@ def union_sources(spark, sf):
     return T.union_all(a, b)
 
 
-@register("connect_map", "CON1 CON2", """
+@register("connect_map", "CON1", """
 SELECT CASE WHEN value > 100 THEN 'warning' ELSE 'healthy' END AS status,
        CAST(user_id AS VARCHAR) AS id, CASE WHEN value > 100 THEN value END AS temperature,
        1 AS src FROM events
@@ -136,7 +136,7 @@ def connect_map(spark, sf):
     return out.select("status", "id", "temperature", F.col("src").cast("int").alias("src"))
 
 
-@register("word_count", "AGG8 FMP1 PRJ2 KEY5 SRC2", r"""
+@register("word_count", "AGG8 FMP1 PRJ2 KEY5", r"""
 WITH l AS (SELECT regexp_replace(unnest(string_split(regexp_replace(text, '\n$', ''), chr(10))),
                                  '\r$', '') AS line FROM documents),
 w AS (SELECT CASE WHEN line = '' THEN ['']

@@ -253,7 +253,7 @@ SELECT user_id AS id, {_end_sql(24 * HOUR)} AS window_end,
 FROM events GROUP BY 1, 2""")
 def win_median(spark, sf):
     r = events(spark, sf)
-    out = W.window_agg(r, "id", "ts", "1 day", [F.median("temperature").alias("median_temp")])
+    out = W.window_median(r, "id", "ts", "1 day", "temperature", "median_temp")
     return out.select("id", "window_end", r6("median_temp").alias("median_temp"))
 
 

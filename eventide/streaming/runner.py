@@ -14,7 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from eventide.session import scratch_path
+from eventide.session import checkpoint_root
 
 
 @dataclass
@@ -40,14 +40,19 @@ class FailureRate:
         return sum(1 for f in failures if now - f <= self.interval_s) <= self.max_failures
 
 
-def start(df: DataFrame, sink: str | Callable = "memory", name: str | None = None,
+def start(df: DataFrame, sink: str | Callable, name: str | None = None,
           mode: str = "append", checkpoint: str | None = None, trigger: dict | None = None,
           options: dict | None = None, path: str | None = None) -> StreamingQuery:
     """Start a checkpointed query.  ``sink`` is a format name or a
     ``foreachBatch`` function; ``trigger`` e.g. ``{"processingTime": "500
-    milliseconds"}`` (checkpoint cadence) or ``{"availableNow": True}``."""
+    milliseconds"}`` (checkpoint cadence) or ``{"availableNow": True}``.
+
+    Without ``checkpoint`` the folder follows from ``name`` alone, so a query
+    of that name goes on where it stopped; one of the two is required."""
+    if not checkpoint and not name:
+        raise ValueError("a query needs a name or a checkpoint folder to be restarted from")
     spark = df.sparkSession
-    ck = checkpoint or scratch_path(spark, f"ckpt-{name or 'query'}")
+    ck = checkpoint or f"{checkpoint_root(spark).rstrip('/')}/query-{name}"
     w = df.writeStream.outputMode(mode).option("checkpointLocation", ck)
     if callable(sink):
         w = w.foreachBatch(sink)
@@ -75,16 +80,22 @@ def run_until_done(query: StreamingQuery, timeout_s: float = 300.0) -> None:
 def run_with_restarts(make_query: Callable[[], StreamingQuery], strategy=None,
                       timeout_s: float | None = None, sleep=time.sleep) -> int:
     """Run a query; when it fails, restart it from its checkpoint as the
-    strategy allows.  Returns the number of restarts."""
+    strategy allows.  Returns the number of restarts.  A query that still
+    runs after ``timeout_s`` is stopped and reported as a TimeoutError."""
     strategy = strategy or FixedDelay()
     failures: list[float] = []
     while True:
         q = make_query()
         try:
-            q.awaitTermination(timeout_s)
+            done = q.awaitTermination(timeout_s) if timeout_s is not None else (q.awaitTermination() or True)
+            if not done:
+                q.stop()
+                raise TimeoutError(f"query {q.name} still ran after {timeout_s}s")
             if q.exception() is None:
                 return len(failures)
             raise RuntimeError(str(q.exception()))
+        except TimeoutError:
+            raise
         except Exception:  # noqa: BLE001
             failures.append(time.time())
             try:

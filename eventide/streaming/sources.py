@@ -1,14 +1,11 @@
 """Stream sources.
 
-Services (socket, Kafka) are thin option builders over Spark's readers.
-For tests, ``stage_replay`` cuts a bounded table into ordered files that a
-file stream then reads one per micro-batch.
+Services (socket, Kafka) are thin option builders over Spark's readers; a
+file stream reads one file per micro-batch.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,33 +44,3 @@ def readings_stream(spark: SparkSession, folder: str, schema: T.StructType,
     s = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
          .parquet(folder))
     return s.withColumn("ts", to_event_time("ts"))
-
-
-def stage_replay(df: DataFrame, folder: str, n_files: int, order: list[str],
-                 file_of=None) -> list[str]:
-    """Write ``df`` as up to ``n_files`` parquet files in ``folder``, cut by
-    ``order`` into contiguous ranges (range partitioning), with modification
-    times that make a file stream take them in order.  ``file_of`` may give
-    an explicit file-number column (for disordered replays).  Test fixture
-    maker: ``folder`` must be a fresh folder."""
-    import glob
-    import shutil
-    spark = df.sparkSession
-    os.makedirs(folder, exist_ok=True)
-    tmp = folder.rstrip("/") + "-staging"
-    if file_of is None:
-        staged = df.repartitionByRange(n_files, *order).withColumn("__file", F.spark_partition_id())
-    else:
-        staged = df.withColumn("__file", file_of)
-    (staged.repartition("__file").sortWithinPartitions(*order)
-     .write.mode("overwrite").partitionBy("__file").parquet(tmp))
-    paths = []
-    base_time = 1_700_000_000
-    for i in range(n_files):
-        parts = sorted(glob.glob(os.path.join(tmp, f"__file={i}", "*.parquet")))
-        for j, part in enumerate(parts):
-            out = os.path.join(folder, f"batch-{i:05d}-{j:03d}.parquet")
-            shutil.copyfile(part, out)
-            os.utime(out, (base_time + 10 * len(paths), base_time + 10 * len(paths)))
-            paths.append(out)
-    return paths

@@ -1,6 +1,6 @@
-"""The oracle gate again with small forced chunks, so every scan-based
-query runs its cross-chunk carry path (at sf0.01 auto-sizing picks one
-chunk)."""
+"""The oracle gate again with chunks of few rows, forced by time and by the
+target of the per-key cuts, so every scan-based query runs its cross-chunk
+carry path (at sf0.01 the default target leaves a key whole)."""
 
 import os
 import sys
@@ -17,14 +17,16 @@ SCAN_QUERIES = [
     "rolling_count_over", "jump_alert", "self_cleaning_alert", "threshold_alert", "switch_filter",
     "fire_alert", "win_session", "win_merging", "win_count", "win_count_sliding",
     "trigger_on_purchase", "late_rows", "late_window_counts", "late_side_output", "allowed_lateness",
+    "win_with_global_state", "late_backfill", "rising_alert",
 ]
 
 
-@pytest.fixture
-def small_chunks(spark):
-    spark.conf.set("eventide.scan.chunk", "3 days")
+@pytest.fixture(params=[("spark.eventide.scan.chunk", "3 days"), ("spark.eventide.scan.targetRowsPerChunk", "40")],
+                ids=["time", "target"])
+def small_chunks(spark, request):
+    spark.conf.set(*request.param)
     yield
-    spark.conf.unset("eventide.scan.chunk")
+    spark.conf.unset(request.param[0])
 
 
 @pytest.mark.parametrize("name", SCAN_QUERIES)

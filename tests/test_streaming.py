@@ -15,7 +15,8 @@ from eventide.plans.common import events, table
 from eventide.streaming import processors as P
 from eventide.streaming.late import LateSplitter
 from eventide.streaming.runner import run_until_done, start
-from eventide.streaming.sources import readings_stream, stage_replay
+from eventide.streaming.sources import readings_stream
+from replay import stage_replay
 from eventide.sinks.upsert import KeyedSnapshot, PerBatchWriter
 
 FAR = "2100-01-01 00:00:00"

@@ -34,14 +34,12 @@ def test_partition_helpers(spark):
     assert low == [0]
 
 
-def test_broadcast_only_when_small(spark):
-    nation = table(spark, SF001, "nation")
-    cust = table(spark, SF001, "customer")
-    small = K.broadcast_if_small(nation, 1 << 20)
-    plan = cust.join(small, cust.c_nationkey == small.n_nationkey)._jdf.queryExecution().toString()
-    assert "broadcast" in plan.lower()
-    big = K.broadcast_if_small(cust, 10)
-    assert big is cust
+def test_random_shuffle_spreads_equal_rows_and_maps(spark):
+    ev = table(spark, SF001, "events").select("event_type")
+    sizes = K.shuffle_random(ev, 8).rdd.glom().map(len).collect()
+    assert min(sizes) > 0 and max(sizes) < 2 * sum(sizes) / 8
+    maps = spark.range(10).select(F.create_map(F.lit("a"), "id").alias("m"))
+    assert K.shuffle_random(maps, 3).count() == 10
 
 
 def test_generator_deterministic(spark):

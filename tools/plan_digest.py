@@ -41,7 +41,7 @@ def main() -> None:
     for name in ["win_tumbling_avg", "word_count", "rolling_sum", "win_session", "rising_alert",
                  "interval_join", "window_join", "fire_alert", "early_firing"]:
         parts += [f"## {name}", "", "```", digest(qs[name](spark, sf)), "```", ""]
-    spark.conf.set("eventide.scan.targetRowsPerChunk", str(max(1000, 10)))
+    spark.conf.set("spark.eventide.scan.targetRowsPerChunk", str(max(1000, 10)))
     r = events(spark, sf)
     hot = r.withColumn("id", F.when(F.pmod("seq", F.lit(3)) == 0, F.lit(0)).otherwise(F.col("id")))
     df = scan(hot, ["id"], "ts", ["seq"], [Scan("s", "sum", "temperature")])
@@ -49,7 +49,7 @@ def main() -> None:
               "Only the hot key is cut finer (broadcast table of hot keys), the carry is a",
               "one-row-per-chunk aggregate joined back on (key, chunk).", "",
               "```", digest(df), "```", ""]
-    spark.conf.unset("eventide.scan.targetRowsPerChunk")
+    spark.conf.unset("spark.eventide.scan.targetRowsPerChunk")
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "plans.md"),
               "w") as f:
         f.write("\n".join(parts))
