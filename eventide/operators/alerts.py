@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
 from eventide.operators.combine import asof_lookup
-from eventide.operators.scan import Scan, resolve_chunking, scan
+from eventide.operators.scan import Scan, resolve_chunking, same, scan
 
 
 def _keys(key) -> list[str]:
@@ -87,51 +87,31 @@ def fire_alert(data: DataFrame, smoke: DataFrame, threshold: float = 100.0,
 
 # ------------------------------------------------------------ rising alert
 
-def _rising_replay(batches, interval_us: int, nkeys: int, first_counts: bool = False):
-    """Replay the rise/timer logic over partitions sorted by (key, run,
-    term, t, seq).  A run = rows from a falling row (or the key's first
-    row) up to the next falling row, which closes the run as a terminator
-    copy: a timer due at or before it fires, then the fall cancels what is
-    left.  A run without terminator is the key's last: its pending timer
-    fires at end of input.  State is carried across Arrow batches."""
-    cur, timer, last, ended = None, None, None, False
-    out_rows: list[tuple] = []
-
-    def flush():
-        if out_rows:
-            cols = [f"k{i}" for i in range(nkeys)] + ["__run", "alert_us"]
-            yield pd.DataFrame(out_rows, columns=cols)
-            out_rows.clear()
+def _rising_replay(batches, interval_us: int, nkeys: int):
+    """Timers of long runs: rises sorted by (key, run, t), each with the time
+    at which its run ends (None: never).  The first rise of a run arms a
+    timer; a rise at or after it finds it fired and arms the next.  State is
+    carried across Arrow batches."""
+    cur, timer, end = None, None, None
+    cols = [f"k{i}" for i in range(nkeys)] + ["__run", "alert_us"]
+
+    def last():
+        return [cur + (timer,)] if cur is not None and (end is None or end >= timer) else []
 
     for pdf in batches:
+        fired: list[tuple] = []
         keys = [pdf[f"k{i}"].tolist() for i in range(nkeys)]
-        runs = pdf["__run"].tolist()
-        term = pdf["__term"].tolist()
-        firsts = pdf["__first"].tolist()
-        t = pdf["__t"].tolist()
-        v = pdf["__v"].tolist()
-        for i in range(len(t)):
-            gk = tuple(k[i] for k in keys) + (runs[i],)
-            if gk != cur:
-                if cur is not None and timer is not None and not ended:
-                    out_rows.append(cur + (timer,))
-                cur, timer, last, ended = gk, None, v[i], False
-                if first_counts and firsts[i] and not term[i] and v[i] > 0.0:
-                    timer = t[i] + interval_us  # unset state compared as 0.0
-                continue
-            if timer is not None and timer <= t[i]:
-                out_rows.append(cur + (timer,))
-                timer = None
-            if term[i]:
-                timer, ended = None, True
-                continue
-            if v[i] > last and timer is None:
-                timer = t[i] + interval_us
-            last = v[i]
-        yield from flush()
-    if cur is not None and timer is not None and not ended:
-        out_rows.append(cur + (timer,))
-    yield from flush()
+        ends = [None if pd.isna(e) else int(e) for e in pdf["__end"].tolist()]
+        for i, (run, t) in enumerate(zip(pdf["__run"].tolist(), pdf["__t"].tolist())):
+            at = tuple(None if pd.isna(k[i]) else k[i] for k in keys) + (run,)
+            if at != cur:
+                fired += last()
+                cur, timer, end = at, t + interval_us, ends[i]
+            elif timer <= t:
+                fired.append(cur + (timer,))
+                timer = t + interval_us
+        yield pd.DataFrame(fired, columns=cols)
+    yield pd.DataFrame(last(), columns=cols)
 
 
 def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: str = "temperature",
@@ -143,36 +123,39 @@ def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: s
     sets state; ``first_counts=True`` compares it with 0.0 instead, as an
     unset numeric state would read.
 
-    Which rise arms a timer depends on when the previous timer fired, a
-    chain no window expression states.  Falling rows reset the logic, so:
-    a chunked scan finds previous values and a second numbers the runs
-    between falls; rows are then hash-partitioned by (key, run), sorted
-    inside partitions (JVM) and replayed by ``mapInPandas``.  A hot key is
-    spread over its runs.
+    Falling rows reset the logic, so a chunked scan finds previous values and
+    a second numbers the runs between falls.  A run's first rise and end then
+    decide all but its later timers: no alert if it ends before the first
+    timer, and one if it ends before a second could fire or no rise follows
+    the first timer.  Only of longer runs the rises go, in order, through
+    ``mapInPandas``, because there each timer depends on the one before.
     """
     keys = _keys(key)
     interval_us = parse_duration_us(interval)
     chunk = resolve_chunking(df, keys, ts, chunk)
     s = scan(df, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk, keep_chunk=True)
-    s = s.withColumn("__first", F.col("__prev").isNull())
     prev = F.coalesce(F.col("__prev"), F.lit(0.0)) if first_counts else F.col("__prev")
+    s = s.withColumn("__rise", F.coalesce(F.col(field) > prev, F.lit(False)))
     s = s.withColumn("__fall", F.when(F.col(field) < prev, 1).otherwise(0))
     s = scan(s, keys, ts, [seq], [Scan("__run", "sum", "__fall")], chunk=chunk)
-    # a falling row starts run r and also closes run r - 1 (terminator copy)
-    copies = F.when(F.col("__fall") == 1, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
-    runs = s.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)], "__run",
-                    epoch_micros(ts).alias("__t"), F.col(seq).alias("__s"),
-                    F.col(field).cast("double").alias("__v"), "__first", F.explode(copies).alias("__term"))
-    runs = runs.withColumn("__run", F.when(F.col("__term"), F.col("__run") - 1).otherwise(F.col("__run")))
     kcols = [f"k{i}" for i in range(len(keys))]
-    ktypes = ", ".join(f"{k} {runs.schema[k].dataType.simpleString()}" for k in kcols)
-    schema = f"{ktypes}, __run long, alert_us long"
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = (runs.repartition(n, *kcols, "__run")
-               .sortWithinPartitions(*kcols, "__run", "__term", "__t", "__s"))
-    out = ordered.mapInPandas(lambda it: _rising_replay(it, interval_us, len(keys), first_counts), schema)
-    return out.select(*[F.col(f"k{i}").alias(k) for i, k in enumerate(keys)],
-                      from_epoch_micros("alert_us").alias("alert_ts"))
+    moves = s.where(F.col("__rise") | (F.col("__fall") == 1)).select(
+        *[F.col(k).alias(c) for k, c in zip(keys, kcols)], F.col("__run"), epoch_micros(ts).alias("__t"), "__rise")
+    # a falling row starts run r, that is, it ends run r - 1
+    runs = moves.groupBy(*kcols, F.when(F.col("__rise"), F.col("__run")).otherwise(F.col("__run") - 1).alias("__run")).agg(
+        F.min(F.when(F.col("__rise"), F.col("__t"))).alias("__first"),
+        F.max(F.when(F.col("__rise"), F.col("__t"))).alias("__last"),
+        F.max(F.when(~F.col("__rise"), F.col("__t"))).alias("__end"))
+    timer = F.col("__first") + interval_us
+    longer = (F.col("__last") >= timer) & (F.col("__end").isNull() | (F.col("__end") >= timer + interval_us))
+    once = runs.where(F.col("__first").isNotNull() & ~longer & (F.col("__end").isNull() | (F.col("__end") >= timer)))
+    rises = moves.where("__rise").alias("l").join(runs.where(longer).alias("r"), same([*kcols, "__run"])).select(
+        *[f"l.{c}" for c in kcols], "l.__run", "l.__t", "r.__end")
+    ktypes = "".join(f"{k} {rises.schema[k].dataType.simpleString()}, " for k in kcols)
+    again = (rises.repartition(*kcols, "__run").sortWithinPartitions(*kcols, "__run", "__t")
+             .mapInPandas(lambda it: _rising_replay(it, interval_us, len(keys)), f"{ktypes}__run long, alert_us long"))
+    out = once.select(*kcols, timer.alias("alert_us")).unionByName(again.select(*kcols, "alert_us"))
+    return out.select(*[F.col(c).alias(k) for k, c in zip(keys, kcols)], from_epoch_micros("alert_us").alias("alert_ts"))
 
 
 def runs_of(df: DataFrame, key, cond: Column, ts: str = "ts", seq: str = "seq", chunk=None) -> DataFrame:

@@ -43,6 +43,23 @@ def interval_join(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts
     return l2.join(r2, keys + ["__bin"], "inner").where(cond).drop("__bin")
 
 
+def stream_interval_join(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: str,
+                         lower: str, upper: str, left_delay: str, right_delay: str) -> DataFrame:
+    """:func:`interval_join` of two streams (event times are TIMESTAMP).  Each
+    side may be late by its delay; the watermarks and the time bounds of the
+    condition let Spark drop a row from state once no partner can come."""
+    keys = _keys(key)
+    if parse_duration_us(upper) < parse_duration_us(lower):
+        raise ValueError("upper bound below lower bound")
+    l2 = left.withWatermark(left_ts, left_delay).alias("l")
+    r2 = right.withWatermark(right_ts, right_delay).select(
+        *[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys]).alias("r")
+    met = F.expr(f"{right_ts} >= {left_ts} + INTERVAL {lower} AND {right_ts} <= {left_ts} + INTERVAL {upper}")
+    for k in keys:
+        met = met & (F.col(f"l.{k}") == F.col(f"__r_{k}"))
+    return l2.join(r2, met).drop(*[f"__r_{k}" for k in keys])
+
+
 def window_join(left: DataFrame, right: DataFrame, key, left_ts: str, right_ts: str,
                 size: str, right_aggs: list[Column], slide: str | None = None) -> DataFrame:
     """Window join, pair-free: every left row with the right side's rows of

@@ -1,0 +1,108 @@
+"""Durations, restarts and stream joins."""
+
+import os
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01
+from eventide.functions.scalar import parse_duration_us
+from eventide.operators import combine as C
+from eventide.plans.common import events
+from eventide.streaming.runner import FixedDelay, run_until_done, run_with_restarts, start
+from replay import stage_replay
+
+
+@pytest.mark.parametrize("text, us", [
+    ("6 hours", 21_600_000_000), ("1.5 seconds", 1_500_000), ("1 day 2 hours", 93_600_000_000), ("-10 seconds", -10_000_000),
+    ("15minutes", 900_000_000), ("250 milliseconds", 250_000), ("250 ms", 250_000), ("0 seconds", 0), ("2 weeks", 1_209_600_000_000),
+    ("0.000001 seconds", 1), ("90 sec", 90_000_000), ("3 mins", 180_000_000)])
+def test_durations(text, us):
+    assert parse_duration_us(text) == us
+
+
+@pytest.mark.parametrize("text", ["", "10", "0.5 hours", "5 parsecs", "1 hour and more", "seconds", "1..5 seconds", "1 hour 10", "0.0000001 seconds"])
+def test_bad_durations_are_errors(text):
+    with pytest.raises(ValueError):
+        parse_duration_us(text)
+
+
+def test_durations_read_as_spark_reads_them(spark):
+    for text in ("1.5 seconds", "2 minutes", "1 day 2 hours"):
+        row = spark.range(1).select(F.window(F.lit("2024-01-01 12:34:56").cast("timestamp"), text).alias("w")).select(
+            (F.unix_micros("w.end") - F.unix_micros("w.start")).alias("us")).first()
+        assert row["us"] == parse_duration_us(text)
+    for text in ("10", "0.5 hours"):
+        with pytest.raises(Exception):
+            spark.range(1).select(F.window(F.lit("2024-01-01").cast("timestamp"), text)).collect()
+
+
+def _files(spark, rows, n):
+    folder = os.path.join(tempfile.mkdtemp(prefix="eventide-test-"), "in")
+    stage_replay(rows, folder, n, ["ts", "seq"])
+    return folder
+
+
+def _stream(spark, rows, folder):
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+def test_failing_query_is_restarted_without_loss_or_doubling(spark):
+    rows = events(spark, SF01).limit(400)
+    folder, out = _files(spark, rows, 4), tempfile.mkdtemp(prefix="eventide-test-")
+    seen = []
+
+    def write(df, batch):
+        seen.append(batch)
+        if batch in (1, 2) and seen.count(batch) == 1:
+            raise RuntimeError("planned failure")
+        df.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    name = f"restarted_{os.path.basename(out)}".replace("-", "_")
+    n = run_with_restarts(lambda: start(_stream(spark, rows, folder), write, name=name, trigger={"availableNow": True}),
+                          FixedDelay(5, 0.0), timeout_s=240, sleep=lambda s: None)
+    assert n == 2 and seen.count(0) == 1        # the checkpoint of that name goes on where it stopped
+    got = spark.read.parquet(out).select("seq")
+    assert got.count() == got.distinct().count() == rows.count()
+
+
+def test_restarts_end_as_the_strategy_says(spark):
+    rows = events(spark, SF01).limit(20)
+    folder = _files(spark, rows, 1)
+
+    def fail(df, batch):
+        raise RuntimeError("always")
+
+    name = f"hopeless_{os.path.basename(os.path.dirname(folder))}".replace("-", "_")
+    with pytest.raises(Exception):
+        run_with_restarts(lambda: start(_stream(spark, rows, folder), fail, name=name, trigger={"availableNow": True}),
+                          FixedDelay(1, 0.0), timeout_s=240, sleep=lambda s: None)
+
+
+def test_timeout_is_reported_and_names_are_required(spark):
+    rate = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    name = f"endless_{os.path.basename(tempfile.mkdtemp())}"
+    with pytest.raises(TimeoutError):
+        run_with_restarts(lambda: start(rate, "noop", name=name), FixedDelay(0, 0.0), timeout_s=3)
+    assert not [q for q in spark.streams.active if q.name == name]
+    with pytest.raises(ValueError):
+        start(rate, "noop")
+
+
+def test_stream_interval_join_equals_batch(spark):
+    r = events(spark, SF01, keep=("event_type",)).where("seq < 3000")
+    left = r.where("event_type = 'click'").select("id", F.col("ts").alias("lts"), F.col("seq").alias("lseq"))
+    right = r.where("event_type = 'error'").select("id", F.col("ts").alias("rts"), F.col("seq").alias("rseq"))
+    want = C.interval_join(left, right, "id", "lts", "rts", "-12 hours", "6 hours").select("id", "lseq", "rseq")
+    folder = _files(spark, r, 5)
+    src = lambda: _stream(spark, r, folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    ls = src().where("event_type = 'click'").select("id", F.col("ts").alias("lts"), F.col("seq").alias("lseq"))
+    rs = src().where("event_type = 'error'").select("id", F.col("ts").alias("rts"), F.col("seq").alias("rseq"))
+    joined = C.stream_interval_join(ls, rs, "id", "lts", "rts", "-12 hours", "6 hours", "1 hour", "1 hour")
+    out = tempfile.mkdtemp(prefix="eventide-test-")
+    run_until_done(start(joined.select("id", "lseq", "rseq"), "parquet", checkpoint=out + "/ck", path=out + "/rows",
+                         trigger={"availableNow": True}), 300)
+    got = spark.read.parquet(out + "/rows")
+    assert want.count() > 50
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
