@@ -30,8 +30,7 @@ WIDTHS = (2, 3, 4)      # bytes seen by a filter
 FILTERS = 16            # of each width
 EMBED = 8
 SAMPLE_ROWS = 6000      # bound on training rows, shared evenly by languages
-SAMPLE_WINDOWS = 2      # of each training row
-SAMPLE_CHARS = 256      # of each training window
+SAMPLE_CHARS = (256, 256, 64, 20)   # windows of each training row: short texts are learned too
 UNDETERMINED = "und"
 
 
@@ -138,7 +137,7 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 4, rate: float =
 def training_rows(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[bytes], list[str]]:
     """A bounded sample of ``(doc_id, text, lang)``: an even share of ``rows``
     for every language, chosen by a hash of doc_id; of each row
-    ``SAMPLE_WINDOWS`` windows at hashed places anywhere in the text."""
+    one window of each of ``SAMPLE_CHARS`` at hashed places anywhere in the text."""
     labelled = labelled.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     share = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
              .orderBy(F.desc("n"), "lang").limit(rows).collect()}
@@ -148,11 +147,12 @@ def training_rows(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[by
     odds = F.create_map(*[F.lit(v) for k, n in sorted(share.items()) for v in (k, even / n)])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     low = F.lower("text")
-    places = [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length(low) - SAMPLE_CHARS // 2, F.lit(1))) + 1
-              for k in range(SAMPLE_WINDOWS)]
-    taken = (labelled.where(draw < odds[F.col("lang")])
-             .select("lang", F.explode(F.array(*[F.substring(low, p.cast("int"), F.lit(SAMPLE_CHARS)) for p in places])).alias("t"))
-             .limit(2 * SAMPLE_WINDOWS * rows).collect())
+    pieces = []
+    for k, chars in enumerate(SAMPLE_CHARS):
+        place = F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length(low) - chars // 2, F.lit(1))) + 1
+        pieces.append(F.substring(low, place.cast("int"), F.lit(chars)))
+    taken = (labelled.where(draw < odds[F.col("lang")]).select("lang", F.array(*pieces).alias("ts"))
+             .select("lang", F.explode("ts").alias("t")).limit(2 * len(SAMPLE_CHARS) * rows).collect())
     taken = sorted((r["lang"], r["t"].encode()) for r in taken)
     return [t for _, t in taken], [k for k, _ in taken]
 
