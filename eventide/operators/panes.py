@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
 from eventide.operators.alerts import runs_of
 from eventide.operators.scan import same
-from eventide.operators.windows import window_rows
+from eventide.operators.windows import count_windows, window_rows
 
 
 def _keys(key) -> list[str]:
@@ -91,6 +91,15 @@ def evict_keep_last(rows: DataFrame, group: list[str], n: int, order: list[str],
     return s.withColumn("__r", F.row_number().over(w2)).where(F.col("__r") <= n).drop("__r", "__salt")
 
 
+def evict_after(df: DataFrame, key, every: int, keep: int, aggs: list[Column], ts: str = "ts",
+                seq: str = "seq", chunk=None) -> DataFrame:
+    """A count trigger whose evictor runs after the window function: every
+    ``every`` rows of a key the function sees the rows still in the pane, and
+    then all but the last ``keep`` leave.  So firing at row n sees the rows
+    after n - every - keep.  Output adds ``window_seq`` = n."""
+    return count_windows(df, key, every + keep, aggs, slide=every, ts=ts, seq=seq, chunk=chunk)
+
+
 def evict_older_than(rows: DataFrame, group: list[str], ts: str, keep: str) -> DataFrame:
     """Time evictor: keep rows within ``keep`` of the group's newest row."""
     keep_us = parse_duration_us(keep)

@@ -54,6 +54,15 @@ def union_all(*dfs: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), dfs)
 
 
+def connect_flat_map(left: DataFrame, right: DataFrame, flat_left: Column, flat_right: Column,
+                     tag: str = "src") -> DataFrame:
+    """``connect(...).flatMap(f1, f2)``: each side's function gives an array
+    of structs, none to many outputs per row; fields are matched by name."""
+    sides = [df.select(F.inline(out)).withColumn(tag, F.lit(k))
+             for k, (df, out) in enumerate(((left, flat_left), (right, flat_right)), 1)]
+    return sides[0].unionByName(sides[1], allowMissingColumns=True)
+
+
 def connect(left: DataFrame, right: DataFrame, map_left: dict[str, Column],
             map_right: dict[str, Column], tag: str = "src") -> DataFrame:
     """``connect(...).map(f1, f2)``: each side mapped by its own function to

@@ -101,6 +101,18 @@ m AS (SELECT *, max(ts) OVER (ORDER BY arrival, event_id
                 AS wm FROM a)"""
 
 
+@register("evict_after", "EVT1", """
+WITH r AS (SELECT user_id AS id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events)
+SELECT a.id, a.n AS window_seq, count(*) AS cnt, round(max(b.value), 6) AS max_temp
+FROM r a JOIN r b ON a.id = b.id AND b.n > a.n - 8 AND b.n <= a.n
+WHERE a.n % 5 = 0 GROUP BY 1, 2""")
+def evict_after_q(spark, sf):
+    """Every 5 rows of a sensor, the maximum of those and the 3 that the
+    evictor left after the last firing."""
+    out = P.evict_after(events(spark, sf), "id", 5, 3, [F.count(F.lit(1)).alias("cnt"), F.max("temperature").alias("mx")])
+    return out.select("id", F.col("window_seq").cast("long").alias("window_seq"), "cnt", r6("mx").alias("max_temp"))
+
+
 @register("late_rows", "LAT3 LAT1 WMK1 WMK3", f"""
 WITH {_WM_SQL}
 SELECT user_id AS id, event_id AS seq, ts, arrival, wm AS wm_before FROM m WHERE ts < wm""")

@@ -136,6 +136,25 @@ def connect_map(spark, sf):
     return out.select("status", "id", "temperature", F.col("src").cast("int").alias("src"))
 
 
+@register("connect_flat_map", "CON2", """
+SELECT 'reading' AS what, CAST(user_id AS VARCHAR) AS id, round(value, 6) AS amount, 1 AS src FROM events WHERE value > 50
+UNION ALL SELECT 'hot', CAST(user_id AS VARCHAR), round(value - 100, 6), 1 FROM events WHERE value > 100
+UNION ALL SELECT unnest(string_split(o_orderpriority, '-')), CAST(o_custkey AS VARCHAR), NULL, 2 FROM orders""")
+def connect_flat_map(spark, sf):
+    """Readings give none, one or two records, orders one for each part of
+    their priority."""
+    def record(what, amount):
+        return F.struct(F.lit(what).alias("what"), F.col("id").cast("string").alias("id"), r6(amount).alias("amount"))
+
+    t = F.col("temperature")
+    readings = F.filter(F.array(F.when(t > 50, record("reading", t)), F.when(t > 100, record("hot", t - 100))),
+                        lambda x: x.isNotNull())
+    orders = F.transform(F.split("o_orderpriority", "-"),
+                         lambda w: F.struct(w.alias("what"), F.col("o_custkey").cast("string").alias("id")))
+    out = T.connect_flat_map(events(spark, sf), table(spark, sf, "orders"), readings, orders)
+    return out.select("what", "id", "amount", F.col("src").cast("int").alias("src"))
+
+
 @register("word_count", "AGG8 FMP1 PRJ2 KEY5", r"""
 WITH l AS (SELECT regexp_replace(unnest(string_split(regexp_replace(text, '\n$', ''), chr(10))),
                                  '\r$', '') AS line FROM documents),

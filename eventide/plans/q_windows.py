@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from eventide.functions.scalar import epoch_micros, f_to_c, from_epoch_micros
 from eventide.operators import windows as W
 from eventide.plans.catalog import register
-from eventide.plans.common import events, r6
+from eventide.plans.common import events, r6, table
 
 HOUR = 3600
 
@@ -257,6 +257,27 @@ def win_median(spark, sf):
     return out.select("id", "window_end", r6("median_temp").alias("median_temp"))
 
 
+@register("win_accumulator", "WFN3 AGG9", """
+SELECT l_suppkey AS id,
+       make_timestamp(CAST((floor(epoch_us(l_shipdate) / (30 * 86400000000)) + 1) * 30 * 86400000000 AS BIGINT)) AS window_end,
+       count(*) AS cnt, round(sum(l_extendedprice * (1 - l_discount)) / sum(l_quantity), 6) AS unit_price,
+       round(max(l_quantity) - min(l_quantity), 6) AS spread
+FROM lineitem GROUP BY 1, 2""")
+def win_accumulator(spark, sf):
+    """A user accumulator over 30-day windows of a supplier's shipments:
+    discounted revenue and quantity merge to a unit price, extremes to a
+    spread."""
+    from eventide.operators.accumulate import Accumulator, window_accumulate
+    q = F.col("l_quantity")
+    acc = Accumulator(
+        add={"n": (F.lit(1), F.count), "revenue": (F.col("l_extendedprice") * (1 - F.col("l_discount")), F.sum),
+             "quantity": (q, F.sum), "low": (q, F.min), "high": (q, F.max)},
+        result={"cnt": lambda s: s["n"], "unit_price": lambda s: r6(s["revenue"] / s["quantity"]),
+                "spread": lambda s: r6(s["high"] - s["low"])})
+    rows = table(spark, sf, "lineitem").withColumnRenamed("l_suppkey", "id")
+    return window_accumulate(rows, "id", "l_shipdate", "30 days", acc).select("id", "window_end", "cnt", "unit_price", "spread")
+
+
 @register("win_with_global_state", "WFN8 WFN6", f"""
 SELECT id, window_end, cnt, sum(cnt) OVER (PARTITION BY id ORDER BY window_end
                                            ROWS UNBOUNDED PRECEDING) AS total
