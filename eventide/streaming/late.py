@@ -2,10 +2,10 @@
 
 ``foreachBatch`` over the *unwatermarked* stream: a row is late when its
 event time is below the watermark in force for its batch, i.e. the maximum
-event time of all earlier batches minus the delay.  That maximum is kept in
-a small progress table next to the query checkpoint, one row per batch id,
-so a restarted query (which replays an uncommitted batch with the same id)
-finds the same watermark and writes the same files.
+event time of all earlier batches minus the delay.  That maximum is kept
+with the query's progress, one row per batch id, so a restarted query (which
+replays an uncommitted batch with the same id) finds the same watermark and
+writes the same files.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, parse_duration_us
-from eventide.session import fs_exists
+from eventide.streaming.progress import Progress
 
 
 class LateSplitter:
@@ -27,18 +27,13 @@ class LateSplitter:
         self.delay_us = parse_duration_us(delay)
         self.on_time_path = on_time_path
         self.late_path = late_path
-        self.progress_path = progress_path
-
-    def _watermark_us(self, spark, batch_id: int):
-        if not fs_exists(spark, self.progress_path):
-            return None
-        prog = spark.read.parquet(self.progress_path)
-        row = prog.where(F.col("batch_id") < batch_id).agg(F.max("max_us").alias("m")).first()
-        return None if row is None or row["m"] is None else row["m"] - self.delay_us
+        self.progress = Progress(progress_path)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        wm = self._watermark_us(spark, batch_id)
+        last = self.progress.before(spark, batch_id)
+        newest = last["max_us"] if last else None
+        wm = None if newest is None else newest - self.delay_us
         t = epoch_micros(self.ts)
         late_cond = F.lit(False) if wm is None else (t < F.lit(wm))
         tagged = batch.withColumn("__late", late_cond)
@@ -48,8 +43,6 @@ class LateSplitter:
              .parquet(f"{self.on_time_path}/batch_id={batch_id}"))
             (tagged.where(F.col("__late")).drop("__late").write.mode("overwrite")
              .parquet(f"{self.late_path}/batch_id={batch_id}"))
-            mx = tagged.agg(F.max(t).alias("max_us")).first()["max_us"]
-            (spark.createDataFrame([(batch_id, mx)], "batch_id long, max_us long")
-             .write.mode("overwrite").parquet(f"{self.progress_path}/part_batch={batch_id}"))
+            self.progress.put(tagged.agg(F.greatest(F.max(t), F.lit(newest).cast("long")).alias("max_us")), batch_id)
         finally:
             tagged.unpersist()

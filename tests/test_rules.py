@@ -106,3 +106,29 @@ def test_stream_interval_join_equals_batch(spark):
     got = spark.read.parquet(out + "/rows")
     assert want.count() > 50
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("files", [1, 6])
+def test_stream_control_input_equals_batch(spark, files):
+    from eventide.functions.scalar import smoke_level
+    from eventide.operators.alerts import fire_alert
+    from eventide.streaming.control import FireAlerts
+    r = events(spark, SF01, keep=("event_type",)).where("seq < 3000")
+    control = F.col("event_type").isin("error", "view")
+    rows = r.withColumn("level", F.when(control, smoke_level("event_type"))).drop("event_type")
+    want = fire_alert(rows.where("level IS NULL").drop("level"), rows.where("level IS NOT NULL").select("ts", "seq", "level"))
+    folder, out = _files(spark, rows, files), tempfile.mkdtemp(prefix="eventide-test-")
+    sink = FireAlerts(out + "/alerts", out + "/progress")
+    fails = []
+
+    def flaky(df, batch):
+        sink(df, batch)
+        if batch == 1 and not fails:
+            fails.append(batch)
+            raise RuntimeError("planned failure after the write")
+
+    run_with_restarts(lambda: start(_stream(spark, rows, folder), flaky, checkpoint=out + "/ck", trigger={"availableNow": True}),
+                      FixedDelay(2, 0.0), timeout_s=240, sleep=lambda s: None)
+    got = spark.read.parquet(out + "/alerts").drop("batch_id").select(*want.columns)
+    assert want.count() > 20
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
