@@ -18,7 +18,7 @@ from eventide.session import scratch_path
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the
     lineage ends there, and a lost executor costs nothing already written."""
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -125,7 +125,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if segment is not None:
             yield from segment.batches()
 
-    path = scratch_path(spark, "position-index")
+    path = scratch_path(spark, "llm-position-index")
     (docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_hash(text).alias("text_hash"), F.col(text).alias("text"))
      .mapInArrow(run, INDEX)
      .write.partitionBy("kind").option("compression", "zstd").parquet(path))
