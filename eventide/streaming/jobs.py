@@ -28,6 +28,14 @@ def window_average(readings: DataFrame, size: str = "15 seconds", delay: str = "
     return out.select("id", "window_end", F.round("avg_temp_c", 6).alias("avg_temp_c"))
 
 
+def late_firings(readings: DataFrame, size: str, delay: str, allowed: str) -> DataFrame:
+    """Window counts per sensor with first firings, updates by late rows
+    inside the allowance, and the rows beyond it (kind ``late``)."""
+    p = P.LateFirings(parse_duration_us(size) // 1000, parse_duration_us(allowed) // 1000)
+    out = P.apply(readings.withWatermark("ts", f"{parse_duration_us(delay) // 1000 + p.slack} milliseconds"), p)
+    return out.withColumn("window_end", F.timestamp_millis("window_end_ms")).drop("window_end_ms")
+
+
 def word_counts(lines: DataFrame, col: str = "value") -> DataFrame:
     """Streaming word count (run in update or complete mode)."""
     words = lines.select(F.explode(java_split(F.col(col), " ")).alias("word"))

@@ -312,6 +312,77 @@ class WindowCountWithTotal(StatefulProcessor):
         pass
 
 
+_FIRED = StructType([StructField("cnt", LongType()), StructField("firings", LongType())])
+
+
+class LateFirings(StatefulProcessor):
+    """Tumbling-window counts under allowed lateness, with marks: ``first``
+    when the watermark passes a window's end (or with its first row, if that
+    is already late), ``update`` with every later row inside the allowance,
+    and ``late`` (side output, with the row's ``seq``) beyond it.
+
+    Lateness is by window end, while Spark drops rows below its watermark
+    before a processor sees them.  So the stream's watermark is declared
+    ``slack`` later than the delay (:func:`eventide.streaming.jobs.late_firings`
+    does) and the clock here runs that much ahead of it: rows reach the side
+    output however late, up to the slack.  State does not grow with it, a
+    window's goes with its allowance."""
+
+    OUTPUT = "id string, window_end_ms long, firing long, cnt long, kind string, seq long"
+
+    def __init__(self, size_ms: int, allowed_ms: int, slack_ms: int = 3650 * 86_400_000):
+        self.size, self.allowed, self.slack = size_ms, allowed_ms, slack_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.windows = handle.getMapState("windows", _L, _FIRED)
+
+    def _first(self, key, end, cnt):
+        self.windows.updateValue((end,), (cnt, 1))
+        self.handle.registerTimer(end + self.allowed - self.slack)
+        return Row(id=str(key[0]), window_end_ms=end, firing=0, cnt=cnt, kind="first", seq=None)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        mark = timerValues.getCurrentWatermarkInMs()
+        clock = mark + self.slack if mark > 0 else None
+        out = []
+        for r in _ordered(rows):
+            end = (_ms(r.ts) // self.size + 1) * self.size
+            if clock is not None and clock >= end + self.allowed:
+                out.append(Row(id=str(key[0]), window_end_ms=end, firing=None, cnt=None, kind="late", seq=r.seq))
+                continue
+            known = self.windows.containsKey((end,))
+            cnt, firings = self.windows.getValue((end,)) if known else (0, 0)
+            if clock is None or clock < end:
+                self.windows.updateValue((end,), (cnt + 1, 0))
+                if not known:
+                    self.handle.registerTimer(end - self.slack)
+                continue
+            if known and not firings:        # its timer comes after this batch's rows
+                out.append(self._first(key, end, cnt))
+                firings = 1
+            if not firings:
+                out.append(self._first(key, end, 1))
+                continue
+            self.windows.updateValue((end,), (cnt + 1, firings + 1))
+            out.append(Row(id=str(key[0]), window_end_ms=end, firing=firings, cnt=cnt + 1, kind="update", seq=None))
+        return iter(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        at, out = expiredTimerInfo.getExpiryTimeInMs(), []
+        closing, ending = at + self.slack, at + self.slack - self.allowed
+        if self.windows.containsKey((closing,)):
+            cnt, firings = self.windows.getValue((closing,))
+            if not firings:
+                out.append(self._first(key, closing, cnt))
+        if self.windows.containsKey((ending,)) and self.windows.getValue((ending,))[1]:
+            self.windows.removeKey((ending,))
+        return iter(out)
+
+    def close(self) -> None:
+        pass
+
+
 _PANE = StructType([StructField("cnt", LongType()), StructField("sum", DoubleType()),
                     StructField("tick", LongType())])
 

@@ -132,3 +132,63 @@ def test_stream_control_input_equals_batch(spark, files):
     got = spark.read.parquet(out + "/alerts").drop("batch_id").select(*want.columns)
     assert want.count() > 20
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_stream_late_firings_equal_a_replay(spark):
+    """Batches in arrival order, rows up to two hours late; the replay uses
+    the watermark of the batches before, as the stream does."""
+    import random
+    from eventide.streaming.jobs import late_firings
+    hour, size, delay, allowed = 3_600_000, 3_600_000, 600_000, 1_800_000
+    base = 1_704_067_200_000
+    rng = random.Random(8)
+    batches, seq = [], 0
+    for b in range(10):
+        rows = []
+        for _ in range(40):
+            rows.append((rng.choice("ab"), base + b * hour // 2 + rng.randrange(hour) - rng.choice([0, 0, 0, hour // 2, 2 * hour]), seq))
+            seq += 1
+        batches.append(rows)
+    batches.append([("z", base + 100 * hour, seq)])
+
+    want, state, newest = [], {}, None
+    for rows in [*batches, []]:
+        clock = None if newest is None else newest - delay
+        for key, t, s in sorted(rows, key=lambda r: (r[1], r[2])):
+            end = (t // size + 1) * size
+            if clock is not None and clock >= end + allowed:
+                want.append((key, end, None, None, "late", s))
+                continue
+            w = state.setdefault((key, end), [0, 0])
+            if clock is not None and clock >= end:
+                if w[0] and not w[1]:
+                    want.append((key, end, 0, w[0], "first", None))
+                    w[1] = 1
+                w[0] += 1
+                want.append((key, end, w[1], w[0], "update" if w[1] else "first", None))
+                w[1] += 1
+            else:
+                w[0] += 1
+        if clock is not None:
+            for (key, end), w in state.items():
+                if clock >= end and not w[1]:
+                    want.append((key, end, 0, w[0], "first", None))
+                    w[1] = 1
+        if rows:
+            newest = max([newest or 0, *(r[1] for r in rows)])
+
+    df = spark.createDataFrame([(k, t, s, 1.0, n) for n, rows in enumerate(batches) for k, t, s in rows],
+                               "id string, ms long, seq long, temperature double, n int")
+    df = df.select("id", F.timestamp_millis("ms").cast("timestamp_ntz").alias("ts"), "seq", "temperature", "n")
+    folder = os.path.join(tempfile.mkdtemp(prefix="eventide-test-"), "in")
+    stage_replay(df, folder, len(batches), ["ts", "seq"], file_of=F.col("n"))
+    s = _stream(spark, df, folder).withColumn("ts", F.col("ts").cast("timestamp")).drop("n")
+    out = tempfile.mkdtemp(prefix="eventide-test-")
+    run_until_done(start(late_firings(s, "1 hour", "10 minutes", "30 minutes"), "parquet", checkpoint=out + "/ck",
+                         path=out + "/rows", trigger={"availableNow": True}), 300)
+    got = [(r["id"], r["ms"], r["firing"], r["cnt"], r["kind"], r["seq"]) for r in
+           spark.read.parquet(out + "/rows").withColumn("ms", F.unix_millis("window_end")).collect()]
+    order = lambda r: tuple((x is None, x) for x in r)
+    mine = [r for r in want if r[0] != "z"]
+    assert {r[4] for r in mine} == {"first", "update", "late"}
+    assert sorted((r for r in got if r[0] != "z"), key=order) == sorted(mine, key=order)
