@@ -47,7 +47,7 @@ def _rows(df, cols):
 
 
 def _run(df, name, mode="append"):
-    q = start(df, "memory", name=name, mode=mode, trigger={"availableNow": True})
+    q = start(df, "memory", name=name, mode=mode, checkpoint=os.path.join(_fresh(), "ck"), trigger={"availableNow": True})
     run_until_done(q, 240)
     return df.sparkSession.table(name)
 
@@ -99,7 +99,7 @@ def test_late_rows_side_output(spark):
     out = _fresh()
     split = LateSplitter("ts", "1 hour", f"{out}/on_time", f"{out}/late", f"{out}/progress")
     s = readings_stream(spark, folder, r.schema)
-    q = start(s, split, name="late_split", trigger={"availableNow": True})
+    q = start(s, split, name="late_split", checkpoint=os.path.join(_fresh(), "ck"), trigger={"availableNow": True})
     run_until_done(q, 240)
     late = spark.read.parquet(f"{out}/late")
     on_time = spark.read.parquet(f"{out}/on_time")
@@ -317,7 +317,7 @@ def test_punctuated_watermark(spark):
     stage_replay(df, src, 2, ["ts", "seq"], file_of=F.when(F.col("seq") < 2, 0).otherwise(1))
     s = readings_stream(spark, src, df.schema)
     p = punctuated(s, "ts", F.col("id") == "1")
-    q = start(p.select("id", "marker_ts"), "memory", name="punct", trigger={"availableNow": True})
+    q = start(p.select("id", "marker_ts"), "memory", name="punct", checkpoint=os.path.join(_fresh(), "ck"), trigger={"availableNow": True})
     run_until_done(q, 120)
     wms = [pr["eventTime"].get("watermark") for pr in q.recentProgress if pr["eventTime"].get("watermark")]
     assert wms and wms[-1].startswith("2024-01-01T10:00:00")
@@ -451,7 +451,7 @@ def test_processing_time_window_and_rate_generator(spark):
     got = _run(per_window, "proc_windows", mode="complete")
     assert got.agg(F.sum("n")).first()[0] == r.count()
     gen = sensor_stream(spark, rows_per_second=50, n_sensors=4)
-    q = start(gen, "memory", name="gen_stream", trigger={"processingTime": "500 milliseconds"})
+    q = start(gen, "memory", name="gen_stream", checkpoint=os.path.join(_fresh(), "ck"), trigger={"processingTime": "500 milliseconds"})
     try:
         deadline = time.time() + 60
         while time.time() < deadline and spark.table("gen_stream").count() < 20:
