@@ -95,7 +95,7 @@ def test_machine_learns_an_interaction():
     rng = np.random.default_rng(1)
     texts, labels = [], []
     for _ in range(600):
-        a, b = rng.random(2) < 0.5
+        a, b = map(bool, rng.random(2) < 0.5)
         texts.append(" ".join(["fool"] * a + ["group"] * b + [f"w{rng.integers(30)}"]))
         labels.append(int(a and b))
     m = T.train(hashed(texts), np.array(labels), share=float(np.mean(labels)))
