@@ -13,7 +13,7 @@ exactly and in whole numbers, to the shortlist alone.
 
 Cases: vectors that are null or hold null or non-finite components take no
 part, neither do those of another length than most vectors have; components
-are held within 2^24; a table of fewer rows than entries has as many entries
+times 1024 are held within 2^24; a table of fewer rows than entries has as many entries
 as rows; equal vec_ids start the codebook in the order of their vectors, null
 ones last; rows that repeat return repeated; a component count that 4 does not
 divide is cut at ``dim * part // 4``; an empty table gives no rows and an

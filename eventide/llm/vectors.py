@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Components are held within this, so that whole numbers made of them are
-#: far from the end of 64 bits; usual embeddings are nowhere near.
+#: Multiplied components are held within this, so that the squares of whole
+#: numbers and their sums fit 64 bits; usual embeddings are nowhere near.
 MOST = float(1 << 24)
 
 
@@ -20,7 +20,7 @@ def floors(vector: str, factor: int, plus: int = 0):
     """Whole numbers ``floor(factor * x) + plus`` of a vector's components."""
     held = lambda x: F.least(F.greatest(x, F.lit(-MOST)), F.lit(MOST))
     return F.transform(F.col(f"`{vector}`").cast("array<double>"),
-                       lambda x: F.floor(held(x) * F.lit(float(factor))).cast("long") + F.lit(plus).cast("long"))
+                       lambda x: F.floor(held(x * F.lit(float(factor)))).cast("long") + F.lit(plus).cast("long"))
 
 
 def commonest_size(rows: DataFrame, vector: str) -> int:

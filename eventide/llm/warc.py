@@ -40,7 +40,7 @@ from typing import NamedTuple
 from urllib.parse import quote_from_bytes, unquote
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import hot
@@ -52,7 +52,8 @@ VERSION = b"WARC/1.1"
 _EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 _MAGIC = b"\x1f\x8b\x08"
 _VERSION_LINE = re.compile(rb"WARC/\d+\.\d+\r\n")
-_NEXT = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/\d+\.\d+\r\n")
+_NEXT = re.compile(rb"\x1f\x8b\x08|WARC/\d+\.\d+\r\n")
+_CONTROL = re.compile(rb"[\x00-\x08\x0a-\x1f\x7f]")
 _STEP = 1 << 16                 # compressed bytes looked at in one go
 _UNSAFE = bytes(b for b in range(33, 127) if b != 37)
 
@@ -121,13 +122,10 @@ def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload
     body = F.coalesce(F.col(f"`{payload}`").cast("binary"), F.lit("").cast("binary"))
     rows = pages.select(F.col(f"`{page_id}`").alias("page_id"), F.col(f"`{url}`").alias("url"), body.alias("payload"),
                         F.sha1(body).alias("sha1"), F.octet_length(body).alias("bytes"))
-    seen = Observation("warc-payloads")
-    measured = rows.select("page_id", "sha1", "bytes").observe(
-        seen, F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes").cast("long")).alias("bytes"))
-    repeated = stored(measured.where(F.col("bytes") >= least).groupBy("sha1").agg(
+    total = rows.agg(F.count(F.lit(1)).alias("n"), F.avg("bytes").alias("mean")).first()
+    repeated = stored(rows.where(F.col("bytes") >= least).groupBy("sha1").agg(
         F.count(F.lit(1)).alias("n"), F.max("page_id").alias("head")).where("n > 1"), "warc-repeated")
-    total = seen.get
-    met = hot.attach(rows, repeated, ["sha1"], "n", total["n"] or 0, F.struct("page_id", "url"))
+    met = hot.attach(rows, repeated, ["sha1"], "n", total["n"], F.struct("page_id", "url"))
     first = F.col("n").isNull() | F.col("page_id").eqNullSafe(F.col("head"))
     group_id = F.md5(F.concat(F.lit("response "), "sha1"))
     own_id = F.when(F.col("n").isNotNull() & first & F.col("page_id").isNotNull(), group_id).otherwise(
@@ -135,7 +133,7 @@ def decide(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload
     return met.select(
         "page_id", "url", "payload", F.when(first, "response").otherwise("revisit").alias("kind"),
         F.when(~first, F.col("head")).alias("refers_to"), _as_uuid(group_id).alias("group_id"), _as_uuid(own_id).alias("own_id"),
-    ), (total["bytes"] or 0) / max(total["n"] or 0, 1)
+    ), total["mean"] or 0.0
 
 
 def write_archives(pages: DataFrame, path: str, date: str = "2000-01-01T00:00:00Z", compressed: bool = True,
@@ -203,9 +201,12 @@ def _record(data, at: int) -> tuple[dict[str, str], bytes, int]:
         if not line:
             break
         name, colon, value = line.partition(b":")
-        if not colon or not name.strip():
+        name = name.strip().decode("latin-1").lower()
+        if not colon or not name or _CONTROL.search(line):
             raise Damaged("header line is malformed")
-        head[name.strip().decode("latin-1").lower()] = value.strip().decode("utf-8", "replace")
+        if name in head and name != "warc-concurrent-to":
+            raise Damaged("header line repeats")
+        head[name] = value.strip().decode("utf-8", "replace")
     size = head.get("content-length", "")
     if not re.fullmatch(r"[0-9]{1,18}", size):
         raise Damaged("no Content-Length")

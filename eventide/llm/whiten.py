@@ -9,8 +9,8 @@ where contour integration (``feast.py``) finds the leading components; these
 are sent with the tasks that project all rows.
 
 Cases: vectors that are null or hold null or non-finite entries take no part,
-neither do those of another length than most vectors have; entries are held
-within 2^24; components of no variance (to rounding) are left out, so equal
+neither do those of another length than most vectors have; entries times 64
+are held within 2^24; components of no variance (to rounding) are left out, so equal
 vectors, a single one and an empty table give no rows; rows that repeat return
 repeated, null ids too; a deviation of more than 63 bits is null; further
 columns are ignored.
