@@ -23,6 +23,18 @@ _LOWER = np.frombuffer(ASCII_LOWER, dtype=np.uint8)
 _IS_WORD = np.array([48 <= b <= 57 or 97 <= b <= 122 or b >= 128 for b in _LOWER])
 
 
+def fresh(columns: list[str], *names: str) -> list[str]:
+    """These names, with underscores after those that a column has already
+    (in any case of letters)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 class Words(NamedTuple):
     """Lower-cased words of a batch of texts, end to end."""
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm._text import NOT_WORD, ascii_lower, slices, split_words
+from eventide.llm._text import NOT_WORD, ascii_lower, fresh, slices, split_words
 from eventide.llm.components import stored
 from eventide.session import scratch_path
 
@@ -261,6 +261,7 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id
     """``docs``, all columns, without the rows in which a window of an item
     stands."""
     index = build_index(docs, doc_id, text)
+    bad_id, bad_hash = fresh(docs.columns, "__id", "__hash")
     bad = stored(report(index, search(index, items)).where("n_hit > 0").select(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "contaminated")
-    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col("__id")) & (row_hash(text) == F.col("__hash")), "left_anti")
+        F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct(), "contaminated")
+    return docs.join(bad, F.col(doc_id).eqNullSafe(F.col(bad_id)) & (row_hash(text) == F.col(bad_hash)), "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.llm._text import text_bytes
+from eventide.llm._text import fresh, text_bytes
 
 WINDOW = 256            # bytes
 WIDTHS = (2, 3, 4)      # bytes seen by a filter
@@ -184,10 +184,11 @@ def identify(docs: DataFrame, net: ByteNet | None, text: str = "text", lang: str
 
     guess = F.arrow_udf(predict, "lang string, score double")
     has_letter = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
-    found = docs.select(*kept, guess(F.lower(F.col(f"`{text}`"))).alias("__guess"), has_letter.alias("__letter"))
+    guessed, letter = fresh(docs.columns, "__guess", "__letter")
+    found = docs.select(*kept, guess(F.lower(F.col(f"`{text}`"))).alias(guessed), has_letter.alias(letter))
     return found.select(
-        *kept, F.when(F.col("__letter"), F.col("__guess.lang")).otherwise(UNDETERMINED).alias(lang),
-        F.when(F.col("__letter"), F.col("__guess.score")).otherwise(0.0).alias(score))
+        *kept, F.when(F.col(letter), F.col(guessed)["lang"]).otherwise(UNDETERMINED).alias(lang),
+        F.when(F.col(letter), F.col(guessed)["score"]).otherwise(0.0).alias(score))
 
 
 def parts(column: pa.Array, most: int = 1 << 20):

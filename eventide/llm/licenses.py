@@ -87,20 +87,28 @@ def votes(docs: DataFrame, templates: tuple[Template, ...], doc_id: str, text: s
     template -1, whose votes are the equal rows of that text."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     words = F.filter(F.split(ascii_lower(body), NOT_WORD), lambda w: w != "")
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("text_hash"), words.alias("words"))
-    grams = F.when(F.size("words") >= K, F.transform(F.sequence(F.lit(0), F.size("words") - K),
-                                                     lambda i: gram_hash(F.col("words"), i)))
-    # place 0 of the exploded array stands for the text itself
-    all_grams = F.concat(F.array(F.lit(0).cast("long")), F.coalesce(grams, F.array().cast("array<bigint>")))
+    kind = "array<struct<n_words:int,at:int,h:bigint,words:array<string>>>"
+
+    def grams(w):
+        """The rows of a text: one with place 0 for itself, one for each
+        k-gram.  Each has all it needs, so no row carries the whole text."""
+        n = F.size(w)
+        itself = F.array(F.struct(n, F.lit(0), F.lit(0).cast("long"), F.array().cast("array<string>"))).cast(kind)
+        every = F.transform(F.sequence(F.lit(0), n - K), lambda i: F.struct(n, i + 1, gram_hash(w, i), F.slice(w, i + 1, K))).cast(kind)
+        return F.concat(itself, F.when(n >= K, every).otherwise(F.array().cast(kind)))
+
+    # bound as a lambda's variable, a text is split once, not once for each of its words
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.xxhash64(body).alias("text_hash"),
+                       F.get(F.transform(F.array(words), grams), F.lit(0)).alias("grams"))
     known = template_grams(docs.sparkSession, templates).unionByName(
         docs.sparkSession.range(1).select(F.lit(-1).alias("template"), F.lit(0).alias("place"),
                                           F.array().cast("array<string>").alias("gram"), F.lit(0).cast("long").alias("h")))
-    at = rows.select("doc_id", "text_hash", "words", F.posexplode(all_grams).alias("at", "h"))
+    # no text is without rows; "outer" keeps the optimizer from testing that by splitting it again
+    at = rows.select("doc_id", "text_hash", F.inline_outer("grams"))
     found = at.join(F.broadcast(known), "h").where(
-        F.when(F.col("template") < 0, F.col("at") == 0)
-        .otherwise((F.col("at") > 0) & (F.slice("words", F.col("at"), K) == F.col("gram"))))
+        F.when(F.col("template") < 0, F.col("at") == 0).otherwise((F.col("at") > 0) & (F.col("words") == F.col("gram"))))
     return found.select(
-        "doc_id", "text_hash", F.size("words").alias("n_words"), "template",
+        "doc_id", "text_hash", "n_words", "template",
         F.when(F.col("template") >= 0, F.col("at") - 1 - F.col("place")).alias("diagonal"),
         F.expr("shiftleft(1L, place)").alias("bit"),
     ).groupBy("doc_id", "text_hash", "n_words", "template", "diagonal").agg(

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventide.llm._text import fresh
 from eventide.llm.components import stored
 
 MIN_SITES = 10
@@ -54,6 +55,7 @@ def clean(docs: DataFrame, site: str = "source", doc_id: str = "doc_id", text: s
     """``docs`` without boilerplate lines, and ``n_lines`` before and
     ``n_dropped``; columns of these names are replaced."""
     body = F.col(f"`{text}`")
+    drop, own, of_id, of_text = fresh(docs.columns, "__drop", "__hash", "__id", "__of")
     hashes = F.filter(F.array_distinct(F.transform(lines_of(body), line_hash)), lambda h: h.isNotNull())
     hashed = docs.where(body.isNotNull()).select(
         F.col(f"`{doc_id}`").alias("id"), F.xxhash64(body).alias("text_hash"),
@@ -61,16 +63,16 @@ def clean(docs: DataFrame, site: str = "source", doc_id: str = "doc_id", text: s
     seen = stored(hashed.select("id", "text_hash", "site", F.explode("hs").alias("h")), "lines")
     common = stored(boilerplate(seen.select("h", "site"), min_sites, lg_k), "boilerplate")
     drops = (seen.select("id", "text_hash", "h").join(common, "h").groupBy("id", "text_hash")
-             .agg(F.collect_set("h").alias("__drop")))        # at most the lines of one text
+             .agg(F.collect_set("h").alias(drop)))            # at most the lines of one text
     mine = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in mine], F.xxhash64(body).alias("__hash"))
-    met = rows.join(drops.select(F.col("id").alias("__id"), F.col("text_hash").alias("__of"), "__drop"),
-                    F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__of")), "left")
-    gone = F.coalesce("__drop", F.array().cast("array<bigint>"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in mine], F.xxhash64(body).alias(own))
+    met = rows.join(drops.select(F.col("id").alias(of_id), F.col("text_hash").alias(of_text), drop),
+                    F.col(f"`{doc_id}`").eqNullSafe(F.col(of_id)) & (F.col(own) == F.col(of_text)), "left")
+    gone = F.coalesce(drop, F.array().cast("array<bigint>"))
     held = F.filter(lines_of(body), lambda line: ~F.coalesce(F.array_contains(gone, line_hash(line)), F.lit(False)))
-    kept = F.when(F.col("__drop").isNull(), body).otherwise(F.array_join(held, "\n"))
+    kept = F.when(F.col(drop).isNull(), body).otherwise(F.array_join(held, "\n"))
     before = F.coalesce(F.size(lines_of(body)), F.lit(0))
     before = F.when(body.isNull(), 0).otherwise(before)
-    after = F.when(F.col("__drop").isNull(), before).otherwise(F.size(held))
+    after = F.when(F.col(drop).isNull(), before).otherwise(F.size(held))
     return met.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in mine],
                       before.alias("n_lines"), (before - after).alias("n_dropped"))

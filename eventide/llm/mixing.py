@@ -25,6 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventide.llm._text import fresh
 from eventide.llm.components import stored
 
 BUCKETS = 1 << 18
@@ -213,9 +214,10 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]) -> Data
     """``docs``, every row as many times as its rate says (none if that is 0)."""
     domains = sorted(targets)
     found = fit_rates(memberships(docs.select("doc_id", "text"), labelled, domains), [targets[d] for d in domains])
-    rated = stored(found.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__of"),
-                                copies_of(F.col("rate"), F.col("doc_id")).alias("__n")), "mixing-copies")
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__of"))
-    return (docs.join(rated.where("__n > 0"), same)
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    of_id, of_text, n, copy = fresh(docs.columns, "__id", "__of", "__n", "__copy")
+    rated = stored(found.select(F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_text),
+                                copies_of(F.col("rate"), F.col("doc_id")).alias(n)), "mixing-copies")
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(of_text))
+    return (docs.join(rated.where(F.col(n) > 0), same)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
             .select(*[F.col(f"`{c}`") for c in docs.columns]))

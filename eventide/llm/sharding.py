@@ -18,6 +18,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventide.llm._text import fresh
+
 SLOTS = 10_007          # prime, over 100 slots for each of the default shards
 SHARDS = tuple(f"shard-{k:03d}" for k in range(64))
 
@@ -61,18 +63,18 @@ def assign(docs: DataFrame, key: str = "doc_id", shards: tuple[str, ...] = SHARD
            slots: int = SLOTS, shard: str = "shard", slot: str = "slot") -> DataFrame:
     """``docs`` with its slot and shard; columns of these names are replaced."""
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in (shard, slot)]
-    placed = docs.select(*kept, slot_of(F.col(f"`{key}`"), slots).alias("__slot"))
-    table = table_frame(docs.sparkSession, shards, slots).select(
-        F.col("slot").alias("__slot"), F.col("shard").alias("__shard"))
-    return placed.join(F.broadcast(table), "__slot").select(
-        *kept, F.col("__slot").alias(slot), F.col("__shard").alias(shard))
+    at, owner = fresh(docs.columns, "__slot", "__shard")
+    placed = docs.select(*kept, slot_of(F.col(f"`{key}`"), slots).alias(at))
+    table = table_frame(docs.sparkSession, shards, slots).select(F.col("slot").alias(at), F.col("shard").alias(owner))
+    return placed.join(F.broadcast(table), at).select(*kept, F.col(at).alias(slot), F.col(owner).alias(shard))
 
 
 def write_shards(placed: DataFrame, path: str, shard: str = "shard", files_a_shard: int = 8) -> None:
     """One folder for each shard.  Rows of a shard go to ``files_a_shard``
     tasks by a hash of the row's own columns, so no shard is one task's work."""
     salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in placed.columns if c != shard]), F.lit(files_a_shard))
-    placed.withColumn("__salt", salt).repartition(shard, "__salt").drop("__salt").write.partitionBy(shard).parquet(path)
+    salted, = fresh(placed.columns, "__salt")
+    placed.withColumn(salted, salt).repartition(shard, salted).drop(salted).write.partitionBy(shard).parquet(path)
 
 
 def oracle(shards: tuple[str, ...] = SHARDS, slots: int = SLOTS) -> str:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.llm._text import ASCII_LOWER
+from eventide.llm._text import ASCII_LOWER, fresh
 from eventide.llm.components import connected_components, stored
 
 SEED = 42       # of XXH64
@@ -116,14 +116,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     smallest doc_id (null last), of equal doc_ids that of the least text hash,
     and of rows equal in both any one."""
     found = near_duplicates(docs, doc_id, text, shingle, radius)
+    kept_id, kept_hash, kept_n = fresh(docs.columns, "__kept_id", "__kept_hash", "__kept_n")
     # counts per (component, id, text) first: a component may hold a third of all rows
     best = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_hash", "n")).alias("k")
     kept = (found.groupBy("root", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("root").agg(best)
-            .select(F.col("k.doc_id").alias("__kept_id"), F.col("k.text_hash").alias("__kept_hash"),
-                    F.col("k.n").alias("__kept_n")))
-    rows = docs.join(kept, F.col(doc_id).eqNullSafe(F.col("__kept_id"))
-                     & (F.xxhash64(text) == F.col("__kept_hash")))
-    once = rows.where("__kept_n = 1")
-    again = rows.where("__kept_n > 1").dropDuplicates(["__kept_id", "__kept_hash"])
+            .select(F.col("k.doc_id").alias(kept_id), F.col("k.text_hash").alias(kept_hash), F.col("k.n").alias(kept_n)))
+    rows = docs.join(kept, F.col(doc_id).eqNullSafe(F.col(kept_id)) & (F.xxhash64(text) == F.col(kept_hash)))
+    once = rows.where(F.col(kept_n) == 1)
+    again = rows.where(F.col(kept_n) > 1).dropDuplicates([kept_id, kept_hash])
     return once.unionByName(again).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -99,5 +99,5 @@ def test_entry_registers_every_query():
     import re
     import __spark_entry__ as e
     names = [n for n in e.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert e.queries()["pipeline"] is P.run
