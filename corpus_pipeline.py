@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide.llm import decontam, langid, mixing, sharding, simhash
+from eventide.llm._text import fresh
 from eventide.llm.components import stored
 from eventide.llm.q_langid import learned
 from eventide.llm.q_mixing import TARGETS, domains
@@ -24,8 +25,10 @@ LEAST_SCORE = 0.3       # of a language's posterior; four equal languages have 0
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a determined language: no letter at all, or
     no language more likely than ``LEAST_SCORE``."""
-    found = langid.identify(docs, learned(docs), lang="__lang", score="__score")
-    return found.where((F.col("__lang") != langid.UNDETERMINED) & (F.col("__score") >= LEAST_SCORE)).select(*docs.columns)
+    lang, score = fresh(docs.columns, "lang_pred", "score")
+    found = langid.identify(docs, learned(docs), lang=lang, score=score)
+    return found.where((F.col(lang) != langid.UNDETERMINED) & (F.col(score) >= LEAST_SCORE)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
