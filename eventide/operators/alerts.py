@@ -132,7 +132,7 @@ def rising_alert(df: DataFrame, key="id", interval: str = "10 seconds", field: s
     """
     keys = _keys(key)
     interval_us = parse_duration_us(interval)
-    chunk = resolve_chunking(df, keys, ts, chunk)
+    chunk = resolve_chunking(df, keys, ts, chunk, (seq,))
     s = scan(df, keys, ts, [seq], [Scan("__prev", "prev", field)], chunk=chunk, keep_chunk=True)
     prev = F.coalesce(F.col("__prev"), F.lit(0.0)) if first_counts else F.col("__prev")
     s = s.withColumn("__rise", F.coalesce(F.col(field) > prev, F.lit(False)))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
+from eventide.operators.accumulate import Accumulator
 from eventide.operators.scan import Scan, same, scan
 from eventide.operators.windows import window_rows
 
@@ -74,15 +75,34 @@ def lateness_firings(tagged: DataFrame, key, arrival: str, seq: str) -> DataFram
                         F.lit("first").alias("kind")).unionByName(updates)
 
 
-def backfill(published: DataFrame, late_rows: DataFrame, all_rows: DataFrame, key, ts: str,
-             size: str, aggs) -> DataFrame:
-    """Periodic back-fill: recompute only the windows the late rows touch
-    (over all rows of those windows) and merge them into the published
-    results, replacing the published row of each touched (key, window).
+def window_states(tagged: DataFrame, key, acc: Accumulator) -> DataFrame:
+    """Accumulator states of windowed rows: one row for each (key, window)
+    and ``is_late``, that is, of the rows published when the window fired and
+    of those that came too late for it.  One pass over the rows."""
+    keys = [key] if isinstance(key, str) else list(key or [])
+    late = (F.col("fate") != "on_time").alias("is_late")
+    return tagged.groupBy(*keys, "window_start", "window_end", late).agg(*acc.states())
+
+
+def backfill(published: DataFrame, late: DataFrame, key, acc: Accumulator) -> DataFrame:
+    """Periodic back-fill: merge the states of late rows into the published
+    ones.  Both have the columns (key..., window_start, window_end, state
+    fields); a (key, window) may be in either alone.  Rows are not read: what
+    is shuffled is one state for each window.  Raises ValueError if a field's
+    states cannot be joined; :func:`recompute` is for those."""
+    if not acc.mergeable:
+        raise ValueError("states of " + ", ".join(n for n in acc.add if not acc.joins(n)) + " cannot be merged")
+    keys = [key] if isinstance(key, str) else list(key or [])
+    on = [*keys, "window_start", "window_end"]
+    cols = [*on, *[f"__{name}" for name in acc.add]]
+    return published.select(*cols).unionByName(late.select(*cols)).groupBy(*on).agg(*acc.merged())
+
 
-    The touched-window list is a distinct projection of the late rows; only
-    rows of touched windows are aggregated again.  All rows are read once to
-    find them, and the published table is written anew."""
+def recompute(published: DataFrame, late_rows: DataFrame, all_rows: DataFrame, key, ts: str,
+              size: str, aggs) -> DataFrame:
+    """Back-fill of results that cannot be merged: only the windows that late
+    rows touch are worked out again, over all rows of those windows, and
+    replace their published rows.  All rows are read once to find them."""
     keys = [key] if isinstance(key, str) else list(key or [])
     on = keys + ["window_end"]
     touched = window_rows(late_rows, ts, size).select(*on).distinct()

@@ -107,7 +107,7 @@ def rolling_count_if(df, key, cond: Column, ts="ts", seq="seq", out="count",
     """Count of rows matching ``cond`` so far per key, and optionally over
     the whole input (one global order), both as chunked scans."""
     flag = F.when(cond, F.lit(1)).otherwise(F.lit(0))
-    global_chunk = resolve_chunking(df, [], ts, chunk) if overall_out else None
+    global_chunk = resolve_chunking(df, [], ts, chunk, (seq,)) if overall_out else None
     r = scan(df, _keys(key), ts, [seq], [Scan(out, "sum", flag)], chunk=chunk)
     if overall_out:
         r = scan(r, [], ts, [seq], [Scan(overall_out, "sum", flag)], chunk=global_chunk)

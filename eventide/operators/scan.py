@@ -19,12 +19,14 @@ Every combine here is associative, so the result equals the single-pass scan
 whatever the cuts are.  Rows with a NULL key form one key, rows with a NULL
 time come before all others of their key.
 
-Cuts are row quantiles (:func:`resolve_chunking`): a key with more than
-``targetRowsPerChunk`` rows is cut at the approximate quantiles of its own
-event times, so bursts and outliers do not unbalance the chunks; every other
-key is one chunk.  An order without a key is cut at the quantiles of all rows,
-into at least as many chunks as there are shuffle partitions.  Rows of a key
-with equal times are one chunk.
+Cuts are row quantiles of the whole order, time and tiebreak together
+(:func:`resolve_chunking`), so bursts, outliers and rows of one time do not
+unbalance the chunks: a key with more than ``targetRowsPerChunk`` rows is cut
+at quantiles of a sample of its own rows; every other key is one chunk.  An
+order without a key is cut into as many chunks as there are shuffle
+partitions.  Only rows equal in time and tiebreak are always one chunk.
+Cuts are drawn once and then are data of the plan: every branch of a query
+cuts alike, and no branch looks for them again.
 """
 
 from __future__ import annotations
@@ -33,16 +35,20 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, parse_duration_us
+from eventide.session import ensure_checkpoint_dir
 
 CHUNK_CONF = "spark.eventide.scan.chunk"
 TARGET_ROWS_CONF = "spark.eventide.scan.targetRowsPerChunk"
 DEFAULT_TARGET_ROWS = 4_000_000
 #: A table of cuts is broadcast up to this size and shuffle-joined beyond it.
 BROADCAST_BYTES = 32 << 20
+#: Sampled rows for each chunk: chunks are then even to about a sixth.
+SAMPLE_ROWS = 32
+FEW_CUTS = 64
 
 
 @dataclass(frozen=True)
@@ -73,29 +79,37 @@ def same(columns) -> Column:
 @dataclass
 class Chunking:
     """How rows are cut into ordered chunks: at uniform ``width`` µs, at the
-    quantiles ``cuts`` of one order, or at per-key quantiles (``hot``: keys
+    points ``cuts`` of one order, or at points for each key (``hot``: keys
     and ``__cuts``; other keys are one chunk; ``small``: it may be broadcast).
-    None of them: one chunk for each key."""
+    None of them: one chunk for each key.  ``tiebreak``: the order's columns
+    after the time."""
     width: int | None = None
-    cuts: Column | None = None
+    cuts: list[Row] | None = None
+    kind: str | None = None
     hot: DataFrame | None = None
     small: bool = True
     keys: tuple = ()
+    tiebreak: tuple = ()
 
     @property
     def single(self) -> bool:
         return self.width is None and self.cuts is None and self.hot is None
 
     def apply(self, df: DataFrame, ts: str) -> DataFrame:
-        t = epoch_micros(ts)
+        at = order_point(ts, self.tiebreak)
         if self.width is not None:
-            chunk = F.floor(t / F.lit(self.width)).cast("long")
+            chunk = F.floor(epoch_micros(ts) / F.lit(self.width)).cast("long")
+        elif self.cuts is not None and len(self.cuts) <= FEW_CUTS and all(
+                v is None or isinstance(v, (int, float, str)) for c in self.cuts for v in c):
+            # compared one by one inside generated code
+            chunk = sum((F.when(_literal(c, self.kind) <= at, 1).otherwise(0) for c in self.cuts), F.lit(0)).cast("long")
         elif self.cuts is not None:
-            df, chunk = df.withColumn("__cuts", self.cuts), cuts_before(t)
+            held = df.sparkSession.createDataFrame([(self.cuts,)], f"c array<{self.kind}>")
+            df, chunk = df.withColumn("__cuts", held.scalar()), cuts_before(at)
         elif self.hot is not None:
             hot = self.hot if not self.small else F.broadcast(self.hot)
             df = df.alias("l").join(hot.alias("r"), same(self.keys), "left").select("l.*", "r.__cuts")
-            chunk = F.when(F.col("__cuts").isNull(), F.lit(0).cast("long")).otherwise(cuts_before(t))
+            chunk = F.when(F.col("__cuts").isNull(), F.lit(0).cast("long")).otherwise(cuts_before(at))
         else:
             chunk = F.lit(0).cast("long")
         out = df.withColumn("__chunk", chunk.alias("__chunk", metadata={"single": self.single})).drop("__cuts")
@@ -105,40 +119,58 @@ class Chunking:
         return out
 
 
-def cuts_before(t: Column) -> Column:
-    """How many of the sorted ``__cuts`` are at or before ``t`` (NULL for a
-    NULL time), by bisection."""
+def order_point(ts: str, tiebreak) -> Column:
+    """A row's place in the order: NULL times come first, as windows sort."""
+    return F.struct(epoch_micros(ts).alias("t"), *[F.col(c).alias(f"o{k}") for k, c in enumerate(tiebreak)])
+
+
+def _literal(point: Row, kind: str) -> Column:
+    return F.struct(*[F.lit(v) for v in point]).cast(kind)
+
+
+def cuts_before(at: Column) -> Column:
+    """How many of the sorted ``__cuts`` are at or before ``at``, by bisection."""
     n = F.size("__cuts")
     start = F.struct(F.lit(0).alias("lo"), n.alias("hi"))
     turns = F.sequence(F.lit(1), F.ceil(F.log2(n + 1)).cast("int") + 1)
 
     def halve(s, _):
         mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        below = F.get(F.col("__cuts"), mid) <= t
+        below = F.get(F.col("__cuts"), mid) <= at
         return F.when(s["lo"] >= s["hi"], s).otherwise(F.struct(
             F.when(below, mid + 1).otherwise(s["lo"]).alias("lo"), F.when(below, s["hi"]).otherwise(mid).alias("hi")))
 
     found = F.aggregate(turns, start, halve, lambda s: s["lo"].cast("long"))
-    return F.when(t.isNotNull(), F.when(n > 0, found).otherwise(F.lit(0).cast("long")))
+    return F.when(n > 0, found).otherwise(F.lit(0).cast("long"))
+
+
+def _quantiles(points: Column, parts: Column) -> Column:
+    """Sorted distinct cuts of a sample of ``points`` into ``parts`` parts."""
+    held = F.sort_array(points)
+    at = F.when(parts > 1, F.sequence(F.lit(1), parts - 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(at, lambda k: F.get(held, F.floor(k.cast("long") * F.size(held) / parts).cast("int"))))
 
 
-def _quantiles(t: Column, parts: int) -> Column:
-    """Sorted distinct cuts of ``t`` into ``parts`` parts of like row counts."""
-    at = [k / parts for k in range(1, parts)]
-    return F.array_distinct(F.coalesce(F.percentile_approx(t, at, 10 * parts), F.array().cast("array<bigint>")))
+def _sampled(parts: int) -> int:
+    """Rows sampled for each chunk; of very many chunks fewer, so that one
+    order's sample stays at about a million points."""
+    return max(4, min(SAMPLE_ROWS, 1_000_000 // parts))
 
 
-def resolve_chunking(df: DataFrame, keys: list[str], ts: str, chunk=None) -> Chunking:
-    """Chunking for a scan over ``df`` keyed by ``keys``.
+def resolve_chunking(df: DataFrame, keys: list[str], ts: str, chunk=None, tiebreak=()) -> Chunking:
+    """Chunking for a scan over ``df`` keyed by ``keys`` in the order of
+    ``(ts, *tiebreak)``.
 
     Explicit widths (duration, µs, or ``spark.eventide.scan.chunk``) are
     uniform.  Auto: a keyed order is probed by one job that counts rows per
-    key and brings three numbers to the driver; the cuts of its hot keys and
-    those of a keyless order are worked out inside the query.
+    key and brings three numbers to the driver; if there are hot keys, their
+    cuts are drawn by a second one into ``spark.checkpoint.dir``.  The cuts of
+    a keyless order (as many as shuffle partitions) come from one job over a
+    bounded random sample.
     """
     if isinstance(chunk, Chunking):
         return chunk
-    spark, t = df.sparkSession, epoch_micros(ts)
+    spark, at = df.sparkSession, order_point(ts, tiebreak)
     if chunk is None:
         chunk = spark.conf.get(CHUNK_CONF, "auto")
     if chunk != "auto":
@@ -146,21 +178,25 @@ def resolve_chunking(df: DataFrame, keys: list[str], ts: str, chunk=None) -> Chu
     target = int(spark.conf.get(TARGET_ROWS_CONF, str(DEFAULT_TARGET_ROWS)))
     if not keys:
         parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-        return Chunking(cuts=df.agg(_quantiles(t, parts).alias("c")).scalar())
+        drawn = df.select(at.alias("p"), F.rand().alias("r")).orderBy("r").limit(parts * _sampled(parts))
+        found = drawn.agg(_quantiles(F.collect_list("p"), F.lit(parts)).alias("c"))
+        kind = found.schema["c"].dataType.elementType.simpleString()
+        cuts = [c for c in found.first()["c"] or [] if c is not None]
+        return Chunking(cuts=cuts, kind=kind, tiebreak=tuple(tiebreak))
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > target)
     key_bytes = F.length(F.to_json(F.struct(*keys))).cast("long")
     row = per_key.agg(F.count(F.lit(1)).alias("hot"), F.max("__n").alias("most"), F.sum(key_bytes).alias("bytes")).first()
     if not row["hot"]:
-        return Chunking(keys=tuple(keys))
-    parts = math.ceil(row["most"] / target)
-    rows = df.select(*keys, t.alias("__t")).alias("l").join(per_key.alias("r"), same(keys)).select("l.*", "r.__n")
-    cuts = rows.groupBy(*keys).agg(_quantiles(F.col("__t"), parts).alias("__cuts"), F.max("__n").alias("__n"))
-    # of the finest grid a key takes every k-th cut, to get chunks of about the target
-    every = F.greatest(F.floor(F.lit(parts) * target / F.col("__n")).cast("int"), F.lit(1))
-    taken = F.filter("__cuts", lambda c, i: (i + 1) % F.col("__every") == 0)
-    hot = cuts.withColumn("__every", every).select(*keys, taken.alias("__cuts"))
-    size = (row["bytes"] or 0) + row["hot"] * 8 * parts
-    return Chunking(hot=hot, small=size <= BROADCAST_BYTES, keys=tuple(keys))
+        return Chunking(keys=tuple(keys), tiebreak=tuple(tiebreak))
+    most = math.ceil(row["most"] / target)
+    rows = df.select(*keys, at.alias("__p")).alias("l").join(per_key.alias("r"), same(keys)).select("l.*", "r.__n")
+    parts = F.ceil(F.col("__n") / target).cast("int")
+    drawn = rows.where(F.rand() < _sampled(most) * parts / F.col("__n"))
+    hot = drawn.groupBy(*keys).agg(F.collect_list("__p").alias("__ps"), F.max(parts).alias("__parts")).select(
+        *keys, _quantiles(F.col("__ps"), F.col("__parts")).alias("__cuts"))
+    ensure_checkpoint_dir(spark)
+    size = (row["bytes"] or 0) + row["hot"] * 16 * most * (1 + len(tiebreak))
+    return Chunking(hot=hot.checkpoint(), small=size <= BROADCAST_BYTES, keys=tuple(keys), tiebreak=tuple(tiebreak))
 
 
 def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
@@ -178,7 +214,7 @@ def scan(df: DataFrame, keys: list[str], ts: str, tiebreak: list[str],
         base = df
         single = bool(df.schema["__chunk"].metadata.get("single"))
     else:
-        plan = resolve_chunking(df, list(keys), ts, chunk)
+        plan = resolve_chunking(df, list(keys), ts, chunk, tuple(tiebreak))
         single = plan.single
         base = plan.apply(df, ts)
 

@@ -116,7 +116,7 @@ def sessions(df: DataFrame, key, ts: str, gap: str, aggs: list[Column],
     """
     keys = _keys(key)
     gap_us = parse_duration_us(gap)
-    plan = resolve_chunking(df, keys, ts, chunk)
+    plan = resolve_chunking(df, keys, ts, chunk, (seq,))
     part = keys + ["__chunk"]
     base = plan.apply(df, ts).withColumn("__t", epoch_micros(ts))
     w = Window.partitionBy(*part).orderBy(ts, seq)
@@ -173,7 +173,7 @@ def merge_intervals(df: DataFrame, key, start: str, end: str, aggs: list[Column]
     that overlap or touch merge.  Gaps-and-islands over a chunked scan of
     the running maximum end."""
     keys = _keys(key)
-    chunk = resolve_chunking(df, keys, start, chunk)
+    chunk = resolve_chunking(df, keys, start, chunk, (seq,))
     s = scan(df, keys, start, [seq], [Scan("__maxend", "max_excl", F.col(end))], chunk=chunk,
              keep_chunk=True)
     s = s.withColumn("__new", F.when(F.col("__maxend").isNull() | (F.col(start) > F.col("__maxend")), 1)

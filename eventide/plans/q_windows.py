@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, f_to_c, from_epoch_micros
 from eventide.operators import windows as W
+from eventide.operators.fold import Fold, window_fold
 from eventide.plans.catalog import register
 from eventide.plans.common import events, r6, table
 
@@ -238,13 +239,9 @@ FROM (SELECT user_id AS id, {_end_sql(24 * HOUR)} AS window_end, ts, event_id AS
 GROUP BY 1, 2""")
 def win_fold(spark, sf):
     """Ordered fold: the event types of a sensor's day in arrival order."""
-    r = events(spark, sf, keep=("event_type",))
-    out = W.window_agg(r, "id", "ts", "1 day",
-                       [F.collect_list(F.struct("ts", "seq", "event_type")).alias("items")])
-    folded = F.aggregate(F.array_sort("items"), F.lit(None).cast("string"),
-                         lambda acc, x: F.when(acc.isNull(), x["event_type"])
-                         .otherwise(F.concat(acc, F.lit(","), x["event_type"])))
-    return out.select("id", "window_end", folded.alias("types"))
+    fold = Fold(F.col("event_type"), lambda a, b: F.concat(a, F.lit(","), b))
+    out = window_fold(events(spark, sf, keep=("event_type",)), "id", "ts", "1 day", ["seq"], fold, "types")
+    return out.select("id", "window_end", "types")
 
 
 @register("win_median", "WFN9", f"""
