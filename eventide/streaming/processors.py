@@ -462,15 +462,42 @@ class EarlyFiringWindow(StatefulProcessor):
         pass
 
 
-_ELEM = StructType([StructField("end", LongType()), StructField("t", LongType()),
-                    StructField("seq", LongType())])
+_PLACE = StructType([StructField("bucket", LongType()), StructField("n", LongType())])
+_HELD = StructType([StructField("t", LongType()), StructField("seq", LongType()), StructField("v", DoubleType())])
+
+
+class Buckets:
+    """Rows of a key that wait, in buckets named by a number.  A row is put
+    and taken by its bucket and its place there, so neither looks at rows of
+    other buckets: the work for a row does not grow with the buffer."""
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str):
+        self.rows = handle.getMapState(name, _PLACE, _HELD)
+        self.sizes = handle.getMapState(f"{name}-sizes", _L, _L)
+
+    def put(self, bucket: int, t: int, seq: int, value: float) -> bool:
+        """True for a bucket's first row: its one timer is to be set."""
+        n = self.sizes.getValue((bucket,))[0] if self.sizes.containsKey((bucket,)) else 0
+        self.rows.updateValue((bucket, n), (t, seq, value))
+        self.sizes.updateValue((bucket,), (n + 1,))
+        return n == 0
+
+    def take(self, bucket: int) -> list[tuple]:
+        """Rows ``(t, seq, value)`` of a bucket, sorted; it is empty then."""
+        if not self.sizes.containsKey((bucket,)):
+            return []
+        out = []
+        for n in range(self.sizes.getValue((bucket,))[0]):
+            out.append(tuple(self.rows.getValue((bucket, n))))
+            self.rows.removeKey((bucket, n))
+        self.sizes.removeKey((bucket,))
+        return sorted(out, key=lambda r: r[:2])
 
 
 class EvictingWindow(StatefulProcessor):
     """Tumbling window with a count evictor before the window function:
-    rows are buffered (map state keyed by window end, time, seq); when the
-    watermark passes the window end only the last ``keep_last`` rows are
-    kept and averaged, then the buffer is purged."""
+    rows wait in the bucket of their window; when the watermark passes its
+    end only the last ``keep_last`` rows are kept and averaged."""
 
     OUTPUT = "id string, window_end_ms long, cnt long, avg_temp double"
 
@@ -479,32 +506,21 @@ class EvictingWindow(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getMapState("buffer", _ELEM, _D)
-        self.ends = handle.getMapState("ends", _L, _L)
+        self.buf = Buckets(handle, "buffer")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        for r in _ordered(rows):
-            t = _ms(r.ts)
-            end = (t // self.size + 1) * self.size
-            self.buf.updateValue((end, _us(r.ts), r.seq), (r.temperature,))
-            if not self.ends.containsKey((end,)):
-                self.ends.updateValue((end,), (end,))
+        for r in rows:
+            end = (_ms(r.ts) // self.size + 1) * self.size
+            if self.buf.put(end, _us(r.ts), r.seq, r.temperature):
                 self.handle.registerTimer(end)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at = expiredTimerInfo.getExpiryTimeInMs()
-        if not self.ends.containsKey((at,)):
+        vals = [v for _, _, v in self.buf.take(at)[-self.keep:]]
+        if not vals:
             return iter([])
-        items = [(k[1], k[2], v[0], k) for k, v in self.buf.iterator() if k[0] == at]
-        items.sort()
-        kept = items[-self.keep:]
-        for *_, k in items:
-            self.buf.removeKey(k)
-        self.ends.removeKey((at,))
-        vals = [x[2] for x in kept]
-        return iter([Row(id=str(key[0]), window_end_ms=at, cnt=len(vals),
-                         avg_temp=round(sum(vals) / len(vals), 6))])
+        return iter([Row(id=str(key[0]), window_end_ms=at, cnt=len(vals), avg_temp=round(sum(vals) / len(vals), 6))])
 
     def close(self) -> None:
         pass
@@ -517,39 +533,38 @@ def _us(ts) -> int:
     return int(ts.timestamp()) * 1_000_000 + ts.microsecond
 
 
-_SORT_KEY = StructType([StructField("t", LongType()), StructField("seq", LongType())])
-
-
 class EventTimeSorter(StatefulProcessor):
     """Release each key's rows in event-time order once the watermark has
-    passed them: rows wait in map state keyed by (time, seq), an event-time
-    timer at each row's time releases everything due, in order.  ``emit_no``
-    numbers the released rows of a key."""
+    passed them.  Rows wait in buckets of ``bucket_ms``, each with one timer
+    at its end that releases the bucket in order.  ``emit_no`` numbers the
+    released rows of a key."""
 
     OUTPUT = "id string, ts timestamp, temperature double, seq long, emit_no long"
 
+    def __init__(self, bucket_ms: int = 1000):
+        self.width = bucket_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getMapState("buffer", _SORT_KEY, _D)
+        self.buf = Buckets(handle, "buffer")
         self.emitted = handle.getValueState("emitted", _L)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         for r in rows:
-            self.buf.updateValue((_us(r.ts), r.seq), (r.temperature,))
-            self.handle.registerTimer(_ms(r.ts) + 1)  # due once the watermark passes ts
+            end = (_ms(r.ts) // self.width + 1) * self.width
+            if self.buf.put(end, _us(r.ts), r.seq, r.temperature):
+                self.handle.registerTimer(end)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         import datetime as dt
-        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
-        due = sorted((k[0], k[1], v[0]) for k, v in self.buf.iterator() if k[0] < wm_us)
+        due = self.buf.take(expiredTimerInfo.getExpiryTimeInMs())
         n = self.emitted.get()[0] if self.emitted.exists() else 0
         out = []
         for t_us, seq, temp in due:
             n += 1
             ts = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=t_us)
             out.append(Row(id=str(key[0]), ts=ts, temperature=temp, seq=seq, emit_no=n))
-            self.buf.removeKey((t_us, seq))
         if due:
             self.emitted.update((n,))
         return iter(out)
