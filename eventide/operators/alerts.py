@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
-from eventide.operators.combine import asof_lookup
+from eventide.operators.combine import asof_broadcast, asof_lookup
 from eventide.operators.scan import Scan, resolve_chunking, same, scan
 
 
@@ -79,9 +79,13 @@ def fire_alert(data: DataFrame, smoke: DataFrame, threshold: float = 100.0,
                field: str = "temperature", ts: str = "ts", seq: str = "seq", chunk=None) -> DataFrame:
     """Keyed readings against one global (broadcast) smoke-level input:
     alert when the latest smoke level at or before the reading is ``High``
-    and the temperature exceeds ``threshold``."""
-    tagged = asof_lookup(data, smoke, None, ts, seq, ["level"], chunk=chunk)
-    return (tagged.where((F.col("level") == "High") & (F.col(field) > threshold))
+    and the temperature exceeds ``threshold``.  The level's changes are
+    broadcast if they are small, so readings are filtered where they are read
+    and never shuffled; with ``chunk`` both sides meet in a scan cut so."""
+    hot = data.where(F.col(field) > threshold)
+    tagged = (asof_broadcast(hot, smoke, ts, seq, ["level"]) if chunk is None
+              else asof_lookup(hot, smoke, None, ts, seq, ["level"], chunk=chunk))
+    return (tagged.where(F.col("level") == "High")
             .withColumn("message", F.lit("Risk of fire!")))
 
 

@@ -3,10 +3,11 @@ as-of (latest-control-row) lookups."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.scalar import epoch_micros, parse_duration_us
+from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
+from eventide.operators.keys import BROADCAST_BYTES
 from eventide.operators.scan import Scan, scan
 from eventide.operators.windows import window_rows
 
@@ -110,3 +111,50 @@ def asof_lookup(data: DataFrame, control: DataFrame, key, ts: str, seq: str,
     s = scan(u, keys, ts, ["__side", seq], [Scan("__asof", "last_nonnull", "__probe")], chunk=chunk)
     s = s.where(F.col("__side") == 1)
     return s.select(*[x for x in data.columns], *[F.col(f"__asof.{v}").alias(v) for v in value_cols])
+
+
+#: Stands for no time: before all others.
+NO_TIME = -(1 << 62)
+
+
+def change_points(control: DataFrame, ts: str, seq: str, value_cols: list[str]) -> DataFrame:
+    """A control input for all keys as the points where its values change:
+    ``(t, v)`` with ``t`` in µs (rows without a time are before all others)
+    and the values in a struct.  Of rows at one time the last counts; a row
+    that repeats the values before it is no change."""
+    values = F.struct(*[F.col(c) for c in value_cols])
+    last = control.groupBy(F.col(ts).alias("at")).agg(F.max_by(F.struct(values.alias("v")), F.struct(seq)).alias("held"))
+    moved = scan(last, [], "at", [], [Scan("before", "prev", "held")])
+    return moved.where(F.col("before").isNull() | ~F.col("before.v").eqNullSafe(F.col("held.v"))).select(
+        F.coalesce(epoch_micros("at"), F.lit(NO_TIME)).alias("t"), "held.v")
+
+
+def asof_broadcast(data: DataFrame, control: DataFrame, ts: str, seq: str, value_cols: list[str],
+                   most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """As :func:`asof_lookup` without a key: every data row with the values
+    of the latest control row at or before it.  Data rows stay where they are:
+    the control input's change points are measured and, up to ``most_bytes``,
+    sent to every task, spread over as many time buckets as there are points
+    (a point is in each bucket in which it holds: together at most twice as
+    many rows).  Beyond that size data and control meet in a scan instead."""
+    points = change_points(control, ts, seq, value_cols)
+    size = F.sum(F.length(F.to_json(F.struct("t", "v"))).cast("long"))
+    row = points.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes"), F.max("t").alias("hi"),
+                     F.min(F.when(F.col("t") > NO_TIME, F.col("t"))).alias("lo")).first()
+    if (row["bytes"] or 0) > most_bytes:
+        return asof_lookup(data, control, None, ts, seq, value_cols)
+    n, lo = row["n"], row["lo"] or 0
+    width = max(1, (row["hi"] - lo) // n + 1) if n and row["lo"] is not None else 1
+
+    def bucket(t: Column) -> Column:
+        return F.least(F.greatest(F.floor((t - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(n)).cast("long")
+
+    until = F.lead("t").over(Window.orderBy("t"))       # of points that fit the bound
+    held = points.select("t", "v", until.alias("until"))
+    last = F.when(F.col("until").isNull(), F.lit(n).cast("long")).otherwise(bucket(F.col("until") - 1))
+    held = held.select(F.explode(F.sequence(bucket(F.col("t")), last)).alias("__bucket"), F.col("t").alias("__from"),
+                       F.col("until").alias("__until"), F.col("v").alias("__v"))
+    rows = data.withColumn("__t", F.coalesce(epoch_micros(ts), F.lit(NO_TIME)))
+    met = ((bucket(F.col("__t")) == F.col("__bucket")) & (F.col("__t") >= F.col("__from"))
+           & (F.col("__until").isNull() | (F.col("__t") < F.col("__until"))))
+    return rows.join(F.broadcast(held), met, "left").select(*data.columns, *[F.col(f"__v.{c}").alias(c) for c in value_cols])

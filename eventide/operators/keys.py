@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: A side of a join is broadcast up to this measured size.
+BROADCAST_BYTES = 32 << 20
+
 
 def key_columns(df: DataFrame, *spec) -> list[Column]:
     """Key by position (int), field name, nested path (``"address.zip"``),
@@ -70,6 +73,19 @@ def custom_partition(df: DataFrame, n: int, partition_of: Column) -> DataFrame:
     return df.repartitionById(n, F.pmod(partition_of, F.lit(n)).cast("int"))
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table's rows as JSON text, by one job: an upper bound, within
+    a small factor, of what it takes in memory."""
+    said = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).cast("long")
+    return df.agg(F.sum(said)).first()[0] or 0
+
+
+def broadcast_small(df: DataFrame, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked to be sent whole to every task (``broadcast``), if its
+    measured size allows; else as it is, for a join by shuffle."""
+    return F.broadcast(df) if measured_bytes(df) <= most_bytes else df
+
+
 def with_parallelism(df: DataFrame, n: int) -> DataFrame:
     """Per-step parallelism; the session default is
     ``spark.sql.shuffle.partitions``."""
