@@ -1,0 +1,86 @@
+"""Two inputs under one clock; a changed job that goes on from saved state."""
+
+import os
+import shutil
+
+from pyspark.sql import functions as F
+
+from eventide.operators import windows as W
+from eventide.streaming import evolve as E, processors as P
+from eventide.streaming.inputs import merge_inputs
+from eventide.streaming.runner import run_until_done, start
+from eventide.streaming.sources import readings_stream
+from test_streaming import _fresh, _readings, _stage
+
+SCHEMA = "id string, ts timestamp, temperature double, heartbeat boolean"
+
+
+def _put(spark, folder, rows):
+    """One more file: ``(id, minutes, heartbeat)``."""
+    df = spark.createDataFrame([(i, 60 * m, 1.0, h) for i, m, h in rows], "id string, s long, temperature double, heartbeat boolean")
+    df.select("id", F.timestamp_seconds("s").alias("ts"), "temperature", "heartbeat").coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_stalled_input_holds_windows_until_its_heartbeat(spark):
+    root = _fresh()
+    left, right, out, ck = (os.path.join(root, n) for n in ("left", "right", "out", "ck"))
+
+    def fired():
+        both = merge_inputs([spark.readStream.schema(SCHEMA).parquet(f) for f in (left, right)], "ts", "0 seconds", "heartbeat")
+        counts = W.window_agg(both, None, "ts", "1 hour", [F.count(F.lit(1)).alias("cnt")])
+        run_until_done(start(counts, "parquet", checkpoint=ck, trigger={"availableNow": True}, path=out), 120)
+        return [tuple(r) for r in spark.read.parquet(out).select(F.hour("window_start").alias("h"), "cnt").orderBy("h").collect()]
+
+    _put(spark, left, [("a", m, None) for m in range(10, 360, 30)])
+    _put(spark, right, [("b", 15, None), ("b", 65, False)])
+    # the left input is at 5:40, the right one at 1:05: only the first hour is over
+    assert fired() == [(0, 3)]
+    _put(spark, left, [("a", 410, None)])
+    assert fired() == [(0, 3)]
+    # every run is a restart, after which the left input says again where it is
+    _put(spark, left, [(None, 411, True)])
+    _put(spark, right, [(None, 245, True)])
+    # the heartbeat says 4:05, and is no row of the fifth hour
+    assert fired() == [(0, 3), (1, 3), (2, 2), (3, 2)]
+    _put(spark, left, [(None, 412, True)])
+    _put(spark, right, [("b", 250, None), (None, 500, True)])
+    assert fired() == [(0, 3), (1, 3), (2, 2), (3, 2), (4, 3), (5, 2)]
+
+
+def test_changed_job_goes_on_from_saved_state(spark):
+    r = _readings(spark)
+    folder = _stage(spark, r, 4)
+    names = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    assert len(names) >= 4
+    root = _fresh()
+    now, ck = os.path.join(root, "in"), os.path.join(root, "ck")
+    os.makedirs(now)
+    for n in names[:2]:
+        shutil.copy(os.path.join(folder, n), now)
+
+    def run(df, out, checkpoint):
+        run_until_done(start(df, "parquet", checkpoint=checkpoint, trigger={"availableNow": True}, path=out), 240)
+        return spark.read.parquet(out)
+
+    old = run(P.apply(readings_stream(spark, now, r.schema), E.RunningTotals(), time_mode="None"), os.path.join(root, "old"), ck)
+    state = E.saved_state(spark, ck, "totals")
+    assert state.columns == ["id", "cnt", "total"]
+    before = {x["id"]: (x["cnt"], round(x["total"], 6)) for x in state.collect()}
+    assert before == {x["id"]: (x["n"], round(x["t"], 6)) for x in old.groupBy("id").agg(F.max("cnt").alias("n"), F.max_by("total", "cnt").alias("t")).collect()}
+
+    for n in names[2:]:
+        shutil.copy(os.path.join(folder, n), now)
+    rest = E.unread(readings_stream(spark, now, r.schema), ck)
+    new = run(E.apply_from(rest, E.RunningTotalsWithHigh(), state), os.path.join(root, "new"), os.path.join(root, "ck2"))
+    assert new.columns == ["id", "cnt", "total", "high"]
+    got = {x["id"]: x for x in new.groupBy("id").agg(F.max("cnt").alias("n"), F.max_by("total", "cnt").alias("t"), F.max_by("high", "cnt").alias("h")).collect()}
+    read = spark.read.parquet(*[os.path.join(folder, n) for n in names[2:]])
+    highs = {x["id"]: x["h"] for x in read.groupBy("id").agg(F.max("temperature").alias("h")).collect()}
+    assert set(got) == set(highs)
+    whole = {x["id"]: (x["n"], x["t"]) for x in r.groupBy("id").agg(F.count("*").alias("n"), F.sum("temperature").alias("t")).collect()}
+    for k, x in got.items():        # no reading is lost, none counted twice
+        assert x["n"] == whole[k][0] and abs(x["t"] - whole[k][1]) < 1e-6 and x["h"] == highs[k]
+    # the new job is restarted from its own checkpoint: nothing is read again
+    rest = E.unread(readings_stream(spark, now, r.schema), ck)
+    again = run(E.apply_from(rest, E.RunningTotalsWithHigh(), state), os.path.join(root, "new"), os.path.join(root, "ck2"))
+    assert again.count() == new.count()
