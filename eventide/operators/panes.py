@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.scalar import epoch_micros, from_epoch_micros, parse_duration_us
 from eventide.operators.alerts import runs_of
-from eventide.operators.scan import same
+from eventide.operators.scan import Scan, scan
 from eventide.operators.windows import count_windows, window_rows
 
 
@@ -100,9 +100,14 @@ def evict_after(df: DataFrame, key, every: int, keep: int, aggs: list[Column], t
     return count_windows(df, key, every + keep, aggs, slide=every, ts=ts, seq=seq, chunk=chunk)
 
 
-def evict_older_than(rows: DataFrame, group: list[str], ts: str, keep: str) -> DataFrame:
-    """Time evictor: keep rows within ``keep`` of the group's newest row."""
+def evict_older_than(rows: DataFrame, group: list[str], ts: str, keep: str, chunk=None) -> DataFrame:
+    """Time evictor: keep rows within ``keep`` of the group's newest row.
+
+    One scan over the rows backwards in time, where the running maximum is
+    the newest row's time from the first row on; a huge group is cut into
+    chunks and never joined with itself.  Rows without a time leave."""
     keep_us = parse_duration_us(keep)
-    newest = rows.groupBy(*group).agg(F.max(epoch_micros(ts)).alias("__newest"))
-    j = rows.alias("l").join(newest.alias("r"), same(group)).select("l.*", "r.__newest")
-    return j.where(epoch_micros(ts) >= F.col("__newest") - keep_us).drop("__newest")
+    t = epoch_micros(ts)
+    back = rows.withColumn("__back", from_epoch_micros(-t))
+    s = scan(back, group, "__back", [], [Scan("__newest", "max", t)], chunk=chunk)
+    return s.where(t >= F.col("__newest") - keep_us).drop("__newest", "__back")

@@ -118,3 +118,46 @@ def fs_list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def fs_read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is none."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def fs_put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file whole or not at all: it is written beside its name
+    and renamed.  False if a file of that name is there already."""
+    fs, p = _fs_path(spark, path)
+    if fs.exists(p):
+        return False
+    _, aside = _fs_path(spark, f"{path}.{uuid.uuid4().hex[:12]}.tmp")
+    out = fs.create(aside, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if fs.rename(aside, p):
+        return True
+    fs.delete(aside, False)
+    return False
+
+
+def fs_list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in ``path`` (empty when it does not exist)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
+
+
+def fs_delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.delete(p, True)
