@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventide.operators.growing import list_pieces, list_rows, list_view
 from eventide.operators.scan import Scan, resolve_chunking, scan
 
 
@@ -88,18 +89,16 @@ def rolling_reduce_min_latest(df, key, field="temperature", ts="ts", seq="seq",
     return r.withColumn(field, F.col("__m")).drop("__m")
 
 
-def rolling_concat(df, key, list_col: str, ts="ts", seq="seq", out: str | None = None) -> DataFrame:
-    """Rolling list-concatenating reduce (``x._2 ::: y._2``).
-
-    The output is quadratic in the rows of a key by definition (row *n*
-    carries *n* elements), so this is meant for short-lived keys.  It uses
-    an ordered window per key; the frame buffer spills to disk.
-    """
-    from pyspark.sql import Window
-    keys = _keys(key)
-    w = (Window.partitionBy(*keys).orderBy(ts, seq)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out or list_col, F.flatten(F.collect_list(F.col(list_col)).over(w)))
+def rolling_concat(df, key, list_col: str, ts="ts", seq="seq", out: str | None = None, chunk=None) -> DataFrame:
+    """Rolling list-concatenating reduce (``x._2 ::: y._2``), every list
+    written out: quadratic in the rows of a key by definition.  For long-lived
+    keys keep the deltas of :mod:`eventide.operators.growing` and view the
+    rows that are read."""
+    rows = list_rows(df, key, list_col, ts, seq, "__upto_n", chunk)
+    view = list_view(rows, list_pieces(rows, key, list_col, "__upto_n"), key, list_col, "__grown", "__upto_n")
+    out = out or list_col
+    kept = [F.col("__grown").alias(c) if c == out else F.col(f"`{c}`") for c in df.columns]
+    return view.select(*kept, *([] if out in df.columns else [F.col("__grown").alias(out)]))
 
 
 def rolling_count_if(df, key, cond: Column, ts="ts", seq="seq", out="count",

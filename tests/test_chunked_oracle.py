@@ -17,7 +17,7 @@ SCAN_QUERIES = [
     "rolling_count_over", "jump_alert", "self_cleaning_alert", "threshold_alert", "switch_filter",
     "fire_alert", "win_session", "win_merging", "win_count", "win_count_sliding",
     "trigger_on_purchase", "late_rows", "late_window_counts", "late_side_output", "allowed_lateness",
-    "win_with_global_state", "late_backfill", "rising_alert", "win_fold", "evict_time",
+    "win_with_global_state", "late_backfill", "rising_alert", "win_fold", "evict_time", "rolling_list",
 ]
 
 

@@ -1,0 +1,68 @@
+"""Growing lists as deltas: linear in size, cut by the scan, equal to a plain replay."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventide.operators import growing as G
+from eventide.operators import rolling as R
+from eventide.operators.scan import TARGET_ROWS_CONF
+
+ROWS = [(k, (n * 7) % 5, n, None if n % 11 == 3 else [] if n % 4 == 1 else [f"{k}{n}", None, f"{n}"][: 1 + n % 3])
+        for k in ("a", "b", None) for n in range(90 if k == "a" else 12)]
+
+
+@pytest.fixture
+def target(spark):
+    spark.conf.set(TARGET_ROWS_CONF, "10")
+    yield
+    spark.conf.unset(TARGET_ROWS_CONF)
+
+
+def _frame(spark):
+    made = spark.createDataFrame(ROWS, "id string, at int, seq int, items array<string>")
+    return made.repartition(4).select("id", F.timestamp_seconds("at").cast("timestamp_ntz").alias("ts"), "seq", "items")
+
+
+def _replay():
+    lists, want = {}, {}
+    for k, at, n, items in sorted(ROWS, key=lambda r: (r[1], r[2])):
+        lists[k] = lists.get(k, []) + (items or [])
+        want[k, n] = lists[k]
+    return want
+
+
+@pytest.mark.parametrize("piece", [1, 7, 1024])
+def test_lists_equal_a_replay(spark, target, piece):
+    rows = G.list_rows(_frame(spark), "id", "items")
+    pieces = G.list_pieces(rows, "id", "items", piece=piece)
+    got = {(r["id"], r["seq"]): r["grown"] for r in G.list_view(rows, pieces, "id", "items", "grown", piece=piece).collect()}
+    assert got == _replay()
+
+
+def test_deltas_are_linear_and_pieces_bounded(spark, target):
+    rows = G.list_rows(_frame(spark), "id", "items")
+    sizes = [len(r["__items"]) for r in G.list_pieces(rows, "id", "items", piece=7).collect()]
+    assert sum(sizes) == sum(len(r[3] or []) for r in ROWS) and max(sizes) <= 7
+    assert rows.count() == len(ROWS)
+
+
+def test_view_of_few_rows(spark, target):
+    rows = G.list_rows(_frame(spark), "id", "items")
+    last = rows.where("seq = 89")
+    got = G.list_view(last, G.list_pieces(rows, "id", "items", piece=5), "id", "items", "items", piece=5).collect()
+    assert [r["items"] for r in got] == [_replay()["a", 89]]
+
+
+def test_lists_of_maps_and_ties(spark):
+    made = spark.createDataFrame([("a", 1, [{"x": 1}]), ("a", 2, [{"y": 2}, {"z": 3}])], "id string, seq int, items array<map<string,int>>")
+    got = R.rolling_concat(made.withColumn("ts", F.lit(0)), "id", "items", out="all").orderBy("seq").collect()
+    assert [r["all"] for r in got] == [[{"x": 1}], [{"x": 1}, {"y": 2}, {"z": 3}]]
+    same = spark.createDataFrame([("a", 1, [v]) for v in "cab"] * 2, "id string, seq int, items array<string>")
+    tied = R.rolling_concat(same.withColumn("ts", F.lit(0)), "id", "items").collect()
+    longest = max((r["items"] for r in tied), key=len)
+    assert sorted(longest) == sorted("cab" * 2) and all(r["items"] == longest[:len(r["items"])] for r in tied)
+    assert sorted(len(r["items"]) for r in tied) == [1, 2, 3, 4, 5, 6]
+
+
+def test_empty_table(spark):
+    assert R.rolling_concat(_frame(spark).limit(0), "id", "items").collect() == []
