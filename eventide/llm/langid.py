@@ -20,7 +20,7 @@ from typing import Iterator, NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventide.llm._text import fresh, text_bytes
@@ -30,7 +30,7 @@ WIDTHS = (2, 3, 4)      # bytes seen by a filter
 FILTERS = 16            # of each width
 EMBED = 8
 SAMPLE_ROWS = 6000      # bound on training rows, shared evenly by languages
-SAMPLE_CHARS = (256, 256, 64, 20)   # windows of each training row: short texts are learned too
+SAMPLE_CHARS = (256, 256, 64, 20)   # bytes learned of each window drawn: short texts are learned too
 UNDETERMINED = "und"
 
 
@@ -134,26 +134,67 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 4, rate: float =
     return net
 
 
+def pieces_of(data: np.ndarray, bounds: np.ndarray, place: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All windows of whole texts, each in the forms of ``SAMPLE_CHARS`` (the
+    first as it stands, the others at a hashed start): their bytes, the text
+    each is from, and its turn.  Turns are exponential draws by a hash, longer
+    for a text of more windows, so texts weigh alike in the pieces of least
+    turn and every window of a text has the same chance."""
+    _, text, used = windows_of(data, bounds)
+    nth = np.arange(len(text)) - np.searchsorted(text, text)
+    first, size, windows = bounds[:-1][text], np.diff(bounds)[text], np.bincount(text, minlength=len(place))[text]
+    held, turns = [], []
+    for k, most in enumerate(SAMPLE_CHARS):
+        h = _mixed(place[text].view(np.uint64) + _mixed(nth.astype(np.uint64) * np.uint64(len(SAMPLE_CHARS)) + np.uint64(k)))
+        turns.append(-np.log(((h >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)) * windows)
+        shift = (_mixed(h) % np.uint64(WINDOW)).astype(np.int64) if k else 0
+        length = np.minimum(most if k else used, size)
+        start = first + np.clip(nth * WINDOW + shift, 0, size - length)
+        at = start[:, None] + np.arange(WINDOW)
+        inside = np.arange(WINDOW) < length[:, None]
+        ends = np.append(0, np.cumsum(length)).astype(np.int32)
+        held.append(pa.Array.from_buffers(pa.binary(), len(length), [None, pa.py_buffer(ends), pa.py_buffer(data[at[inside]])]))
+    return pa.concat_arrays(held), np.tile(text, len(SAMPLE_CHARS)), np.concatenate(turns)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(29))
+
+
 def training_rows(labelled: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[bytes], list[str]]:
-    """A bounded sample of ``(doc_id, text, lang)``: an even share of ``rows``
-    for every language, chosen by a hash of doc_id; of each row
-    one window of each of ``SAMPLE_CHARS`` at hashed places anywhere in the text."""
+    """A bounded sample of ``(doc_id, text, lang)``: about an even share of
+    ``rows`` for every language, chosen by a hash of doc_id.  Their whole texts
+    are cut into windows, and those of least turn (:func:`pieces_of`), at most
+    ``len(SAMPLE_CHARS)`` for each row of the share, are learned from.  More
+    languages than ``rows`` are an error."""
     labelled = labelled.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    share = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(rows).collect()}
+    share = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(rows + 1).collect()}
+    if len(share) > rows:
+        raise ValueError(f"more than {rows} languages: raise the bound on training rows")
     if not share:
         return [], []
     even = max(1, rows // len(share))
     odds = F.create_map(*[F.lit(v) for k, n in sorted(share.items()) for v in (k, even / n)])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    low = F.lower("text")
-    pieces = []
-    for k, chars in enumerate(SAMPLE_CHARS):
-        place = F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(F.length(low) - chars // 2, F.lit(1))) + 1
-        pieces.append(F.substring(low, place.cast("int"), F.lit(chars)))
-    taken = (labelled.where(draw < odds[F.col("lang")]).select("lang", F.array(*pieces).alias("ts"))
-             .select("lang", F.explode("ts").alias("t")).limit(2 * len(SAMPLE_CHARS) * rows).collect())
-    taken = sorted((r["lang"], r["t"].encode()) for r in taken)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, part in parts(batch.column("text")):
+                data, bounds = text_bytes(part)
+                places = batch.column("place").slice(at, len(part)).to_numpy()
+                piece, of, turn = pieces_of(data, bounds, places)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("lang").slice(at, len(part)).take(pa.array(of)), pa.array(turn), piece], names=["lang", "turn", "piece"])
+
+    pieces = (labelled.where(draw < odds[F.col("lang")])
+              .select("lang", F.xxhash64("doc_id", "text").alias("place"), F.lower("text").alias("text"))
+              .mapInArrow(cut, "lang string, turn double, piece binary"))
+    # each task keeps only so many of a language before the shuffle
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "piece"))
+    taken = pieces.withColumn("rank", rank).where(F.col("rank") <= len(SAMPLE_CHARS) * even).select("lang", "piece").collect()
+    taken = sorted((r["lang"], bytes(r["piece"])) for r in taken)
     return [t for _, t in taken], [k for k, _ in taken]
 
 

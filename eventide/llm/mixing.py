@@ -20,6 +20,7 @@ allow; equal rows have equal rates; an empty table gives no rows.
 
 from __future__ import annotations
 
+import logging
 import math
 
 from pyspark.sql import DataFrame
@@ -31,13 +32,15 @@ from eventide.llm.components import stored
 BUCKETS = 1 << 18
 SAMPLE_ROWS = 4000      # bound on labelled rows of each domain
 LEAST_DOCS = 3          # of the sample that must have a kept token
-LEAST_CHI2 = 20.0       # of a kept token against one domain
-MOST_TOKENS = 1024      # bound on kept tokens, most telling first
+LEAST_CHI2 = 20.0       # of a kept token against one domain; all such are kept
 TURNS, PACE, DECAY = 40, 0.5, 1e-4      # gradient steps, their length, weight decay
 TOLERANCE = 1e-4        # of all tokens, that a domain may miss its target by
+STILL = 1e-7            # of a rate's mean move, that ends a fit whose targets are out of reach
 STEPS = 60
 CUT = 8                 # steps between written states
 
+log = logging.getLogger(__name__)
+
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -63,7 +66,7 @@ def sample_labels(labelled: DataFrame, domains: list[str], rows: int) -> tuple[D
 
 def telling(present: DataFrame, domains: list[str], size: dict[str, int]) -> list[int]:
     """Buckets of ``(domain, bucket)``, a row for each text that has it, that
-    tell domains apart; ``MOST_TOKENS`` at most."""
+    tell domains apart."""
     total = max(1, sum(size.values()))
     counts = present.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum((F.col("domain") == d).cast("long")).alias(f"n{k}") for k, d in enumerate(domains)])
@@ -74,8 +77,8 @@ def telling(present: DataFrame, domains: list[str], size: dict[str, int]) -> lis
         off = F.col(f"n{k}") - expected
         chi2.append(off * off / F.greatest(expected * (1 - p) * (total - F.col("n")) / total, F.lit(1e-9)))
     told = counts.withColumn("chi2", F.greatest(*chi2) if domains else chi2[0]).where(
-        (F.col("n") >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2)).orderBy(F.desc("chi2"), "bucket").limit(MOST_TOKENS)
-    return sorted(r["bucket"] for r in told.select("bucket").collect())
+        (F.col("n") >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2))
+    return sorted(r["bucket"] for r in told.select("bucket").collect())      # at most BUCKETS
 
 
 def numbers(values):
@@ -100,7 +103,7 @@ def learn(taught: DataFrame, domains: list[str]) -> tuple[list[int], list[list[f
     place = taught.sparkSession.range(1).select(
         F.posexplode(F.split(F.lit(",".join(map(str, buckets))), ",").cast("array<int>")).alias("i", "bucket"))
     texts = stored(taught.select("doc_id", "domain", F.explode(F.concat(F.array(F.lit(-1)), F.col("present"))).alias("bucket"))
-                   .join(F.broadcast(place), "bucket")      # at most MOST_TOKENS + 1 rows
+                   .join(F.broadcast(place), "bucket")      # at most BUCKETS + 1 rows
                    .groupBy("doc_id", "domain").agg(F.collect_list("i").alias("has")), "mixing-taught")
     total, squares = sum(size.values()), [[1e-8] * len(buckets) for _ in domains]
     for _ in range(TURNS):
@@ -135,7 +138,7 @@ def evidence(texts: DataFrame, table: DataFrame, n: int) -> DataFrame:
     split = split.select("doc_id", "text_hash", F.size("words").alias("tokens"), _present(F.col("words")).alias("present"))
     rows = split.select("doc_id", "text_hash", "tokens",     # bucket -1 stands for the row itself
                         F.explode(F.concat(F.array(F.lit(-1)), F.col("present"))).alias("bucket"))
-    met = rows.join(F.broadcast(table), "bucket")       # at most MOST_TOKENS + 1 rows
+    met = rows.join(F.broadcast(table), "bucket")       # at most BUCKETS + 1 rows
     copies = F.sum((F.col("bucket") < 0).cast("long"))
     return met.groupBy("doc_id", "text_hash", "tokens").agg(
         copies.alias("copies"), *[(F.sum(f"l{k}") / copies).alias(f"l{k}") for k in range(n)])
@@ -161,9 +164,12 @@ def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], rows:
 
 
 def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tolerance: float = TOLERANCE,
-              cut: int = CUT) -> DataFrame:
+              cut: int = CUT, fail_over: float | None = None) -> DataFrame:
     """``members`` with ``rate``: nonnegative, its domain totals as near to
-    ``targets`` (shares of all tokens) as can be."""
+    ``targets`` (shares of all tokens) as can be.  The fit ends when every
+    domain is within ``tolerance`` of all tokens or the rates stand still; if
+    they still move after ``steps`` steps, the share of tokens still missing
+    is logged as a warning, and over ``fail_over`` it is an error."""
     n = len(targets)
     weight = F.col("tokens") * F.col("copies")
     p = [F.col(f"p{k}") for k in range(n)]
@@ -190,7 +196,14 @@ def fit_rates(members: DataFrame, targets: list[float], steps: int = STEPS, tole
         if natural is None:
             natural, total = got, sum(got)
             goal = [t / sum(targets) * total for t in targets]
-        if not total or max(abs(g - e) for g, e in zip(goal, got)) <= tolerance * total or turn == steps:
+        miss = max(abs(g - e) for g, e in zip(goal, got)) / total if total else 0.0
+        if miss <= tolerance or (moves and (row["moved"] or 0.0) <= STILL ** 2 * total):
+            break
+        if turn == steps:
+            said = f"rates still move after {steps} steps: a domain misses its target by {miss:.2e} of all tokens"
+            if fail_over is not None and miss > fail_over:
+                raise RuntimeError(said)
+            log.warning(said)
             break
         # distances in units of a domain's own tokens: then a step of length 1 never overshoots
         unit = [max(w, 1e-9 * total) for w in natural]

@@ -15,6 +15,7 @@ is none); rows repeat as they come; an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterator, NamedTuple
 
 import numpy as np
@@ -23,13 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventide.llm._text import split_words
+from eventide.llm.components import stored
 from eventide.llm.langid import parts
 
 BUCKETS = 1 << 20
 SAMPLE_ROWS = 5000      # bound on training rows of each class
-TERMS = 1 << 14         # bound on hashed terms kept, most associated first
 LEAST_DOCS = 3          # of the sample that must have a kept term
-LEAST_CHI2 = 20.0       # a kept term's association with the label, beyond chance
+LEAST_CHI2 = 20.0       # a kept term's association with the label, beyond chance; all such are kept
 FACTORS = 8
 BEGINNINGS = (4, 5)     # bytes of a longer word that are terms too
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -88,8 +89,16 @@ class Machine(NamedTuple):
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
-def train(rows: list[np.ndarray], labels: np.ndarray, share: float, terms: int = TERMS, steps: int = 1200,
-          rate: float = 0.1, decay: float = 1e-4, batch: int = 128, seed: int = 5) -> Machine:
+def telling(n: np.ndarray, pos: np.ndarray, texts: int, share: float) -> np.ndarray:
+    """Which terms tell the labels apart, of those that ``n`` of the texts
+    have and ``pos`` of those with label 1, a ``share`` of all."""
+    expected = n * share
+    chi2 = (pos - expected) ** 2 / np.maximum(expected * (1 - share) * np.maximum(texts - n, 1) / max(texts, 1), 1e-9)
+    return (n >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray, share: float, steps: int = 1200, rate: float = 0.1,
+          decay: float = 1e-4, batch: int = 128, seed: int = 5) -> Machine:
     """AdaGrad on the logistic loss of ``rows`` (each the distinct buckets of
     a text).  ``share`` is the true share of label 1, for the bias."""
     column = np.full(BUCKETS, -1, np.int32)
@@ -99,11 +108,7 @@ def train(rows: list[np.ndarray], labels: np.ndarray, share: float, terms: int =
         return Machine(column, z, np.zeros(0), np.zeros((0, FACTORS)))
     text, bucket = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows)
     n, pos = np.bincount(bucket, minlength=BUCKETS), np.bincount(bucket[labels[text] == 1], minlength=BUCKETS)
-    rest, p = len(rows) - n, labels.mean()
-    expected = n * p
-    chi2 = (pos - expected) ** 2 / np.maximum(expected * (1 - p) * np.maximum(rest, 1) / len(rows), 1e-9)
-    told = (n >= LEAST_DOCS) & (chi2 >= LEAST_CHI2)
-    kept = np.sort(np.argsort(np.where(told, -chi2, 1), kind="stable")[:min(terms, int(told.sum()))])
+    kept = np.flatnonzero(telling(n, pos, len(rows), labels.mean()))
     column[kept] = np.arange(len(kept), dtype=np.int32)
     lists = [column[r][column[r] >= 0] for r in rows]
     rng = np.random.default_rng(seed)
@@ -139,31 +144,54 @@ def train(rows: list[np.ndarray], labels: np.ndarray, share: float, terms: int =
 def training_rows(docs: DataFrame, labels: DataFrame,
                   rows: int = SAMPLE_ROWS) -> tuple[list[np.ndarray], np.ndarray, float]:
     """A bounded sample of the documents ``(doc_id, text)`` named by
-    ``labels(doc_id, label)``, at most about ``rows`` of each label by a hash
-    of doc_id, as distinct term buckets of whole texts; and the true share of
-    label 1 over all labels."""
+    ``labels(doc_id, label)``, at most ``rows`` of each label, those of the
+    smallest hashes; and the true share of label 1 over all labels.  A row is
+    the telling term buckets of its whole text: terms are counted by label in
+    Spark, and no others come to the driver."""
     labels = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("label").cast("int"))
     counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     if not total:
         return [], np.zeros(0, np.int64), 0.0
-    odds = F.create_map(*[F.lit(v) for k in sorted(counts) for v in (k, rows / counts[k])])
+
+    def least(df: DataFrame, *order) -> DataFrame:
+        return reduce(DataFrame.union, [df.where(F.col("label") == k).orderBy(*order).limit(rows) for k in sorted(counts)])
+
+    odds = F.create_map(*[F.lit(v) for k in sorted(counts) for v in (k, 2 * rows / counts[k])])     # of those to order
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    drawn = labels.where(draw < odds[F.col("label")]).limit(4 * rows)
+    drawn = least(labels.where(draw < odds[F.col("label")]).distinct(), draw, "doc_id")
 
-    def run(batches: Iterator[pa.RecordBatch]):
+    def hashed(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for at, part in parts(batch.column("text")):
                 bucket, count = term_hashes(part)
                 ends = np.cumsum(count)
-                held = [np.unique(bucket[b - n:b]).astype("<i4").tobytes() for n, b in zip(count, ends)]
+                held = [np.unique(bucket[b - n:b]).astype(np.int32) for n, b in zip(count, ends)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("label").slice(at, len(part)), pa.array(held, pa.binary())], names=["label", "terms"])
+                    [batch.column("label").slice(at, len(part)), batch.column("place").slice(at, len(part)),
+                     pa.array(held, pa.list_(pa.int32()))], names=["label", "place", "terms"])
+
+    named = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")     # at most 2 x rows
+    terms = named.select("label", F.xxhash64("doc_id", "text").alias("place"), "text").mapInArrow(
+        hashed, "label int, place long, terms array<int>")
+    sample = stored(least(terms, "place", "terms"), "toxicity-sample")     # ids may repeat in docs
+    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    seen = (sample.select("label", F.explode("terms").alias("bucket")).groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("pos")).where(F.col("n") >= LEAST_DOCS).toArrow())
+    size = sum(sizes.values())
+    found = telling(seen["n"].to_numpy(), seen["pos"].to_numpy(), size, sizes.get(1, 0) / max(size, 1))
+    known = np.zeros(BUCKETS, bool)
+    known[seen["bucket"].to_numpy()[found]] = True
+
+    def telling_only(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            lists = [np.asarray(t.values, np.int32) for t in batch.column("terms")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label"), pa.array([t[known[t]].tobytes() for t in lists], pa.binary())], names=["label", "terms"])
 
-    taken = (docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select("label", "text")    # <= 4 x rows
-             .mapInArrow(run, "label int, terms binary").limit(4 * rows).collect())
-    taken = sorted((r["label"], bytes(r["terms"])) for r in taken)
-    return ([np.frombuffer(t, "<i4").astype(np.int64) for _, t in taken],
+    taken = sorted((r["label"], bytes(r["terms"])) for r in
+                   sample.select("label", "terms").mapInArrow(telling_only, "label int, terms binary").collect())
+    return ([np.frombuffer(t, np.int32).astype(np.int64) for _, t in taken],
             np.array([k for k, _ in taken], dtype=np.int64), counts.get(1, 0) / total)
 
 
