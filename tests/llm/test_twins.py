@@ -1,0 +1,196 @@
+"""Plain, loop-written twins of the learned operators, and the bounds of their samples."""
+
+import logging
+import math
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from eventide.llm import langid as L, mixing as M, toxicity as T
+
+MASK = (1 << 64) - 1
+SF = "/root/testdata/sf0.001"
+
+
+def softmax(z):
+    e = [math.exp(v - max(z)) for v in z]
+    return [v / sum(e) for v in e]
+
+
+def plain_language(net, text):
+    """Posterior of one text by loops over windows, filters and places."""
+    data = text.lower().encode()
+    total = [0.0] * len(net.labels)
+    for at in range(0, len(data), L.WINDOW):
+        window = data[at:at + L.WINDOW]
+        padded = np.zeros((L.WINDOW + max(L.WIDTHS) - 1, L.EMBED))
+        for k, byte in enumerate(window):
+            padded[k] = net.embed[byte]
+        out = list(map(float, net.out_bias))
+        for f in range(net.kernel.shape[1]):
+            width = L.WIDTHS[f // L.FILTERS]      # wider places hold zeros
+            kernel = net.kernel[:width * L.EMBED, f]
+            best = max(float(padded[k:k + width].reshape(-1) @ kernel) for k in range(L.WINDOW))
+            h = max(best + float(net.bias[f]), 0.0)
+            for c in range(len(out)):
+                out[c] += h * float(net.out[f, c])
+        for c, p in enumerate(softmax(out)):
+            total[c] += p * len(window) / len(data)
+    return total
+
+
+def test_language_equals_its_twin(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    net = L.train(*L.training_rows(docs, rows=200), epochs=1)
+    rows = [(r["doc_id"], r["text"]) for r in docs.where("text IS NOT NULL").orderBy("doc_id").limit(12).collect()]
+    rows += [(-1, "Ünd dér " * 100), (-2, "x"), (-3, "a" * L.WINDOW), (-4, "b" * (L.WINDOW + 1))]
+    got = {r["doc_id"]: r for r in L.identify(spark.createDataFrame(rows, "doc_id long, text string"), net).collect()}
+    for doc_id, text in rows:
+        want = plain_language(net, text)
+        assert got[doc_id]["lang_pred"] == net.labels[int(np.argmax(want))]
+        assert got[doc_id]["score"] == pytest.approx(max(want), abs=1e-4)
+
+
+def test_every_window_may_be_learned_and_texts_weigh_alike():
+    long, short = bytes(range(1, 256)) * 100, b"short text"
+    data, bounds = np.frombuffer(long + short, np.uint8), np.array([0, len(long), len(long) + len(short), len(long) + len(short)])
+    first = 0
+    for seed in range(200):
+        pieces, of, turn = L.pieces_of(data, bounds, np.array([seed, seed + 1000, 7], np.int64))
+        first += of[int(np.argmin(turn))] == 0
+    assert 60 < first < 140                       # 100 windows and one window: even odds
+    windows = -(-len(long) // L.WINDOW)
+    assert len(pieces) == len(L.SAMPLE_CHARS) * (windows + 1) and set(of) == {0, 1}
+    got = [p.as_py() for p in pieces]
+    assert b"".join(got[:windows]) == long and got[windows] == short      # the first form: the whole texts
+    assert all(p in (long if o == 0 else short) and 0 < len(p) <= L.WINDOW for p, o in zip(got, of))
+    pieces, of, turn = L.pieces_of(np.zeros(0, np.uint8), np.zeros(2, np.int64), np.zeros(1, np.int64))
+    assert len(pieces) == len(of) == len(turn) == 0
+
+
+def test_language_sample_is_bounded_and_repeats(spark):
+    docs = spark.createDataFrame([(k % 7, f"word{k} " * (1 + 300 * (k % 5 == 0)), f"l{k % 3}") for k in range(300)],
+                                 "doc_id long, text string, lang string")
+    a, b = (L.training_rows(docs.repartition(n), rows=30) for n in (2, 9))
+    assert a == b and all(a[1].count(k) <= 10 * len(L.SAMPLE_CHARS) for k in set(a[1]))
+    with pytest.raises(ValueError):
+        L.training_rows(docs, rows=2)
+
+
+def plain_terms(text):
+    words, word = [], b""
+    for byte in text.lower().encode() + b" ":
+        if chr(byte).isascii() and not chr(byte).isalnum():
+            words += [word] if word else []
+            word = b""
+        else:
+            word += bytes([byte])
+    step, mix, found = 0x9E3779B97F4A7C15, 0xFF51AFD7ED558CCD, set()
+    for w in words:
+        for kind in (0, *[k for k in T.BEGINNINGS if len(w) > k]):
+            h, power = kind, 1
+            for byte in w[:kind] if kind else w:
+                power = power * step & MASK
+                h += (byte + 1) * power
+            h = (h & MASK) * mix & MASK
+            h = (h ^ h >> 33) * mix & MASK
+            found.add((h >> 40) % T.BUCKETS)
+    return found
+
+
+def plain_toxicity(machine, text):
+    known = sorted(machine.column[t] for t in plain_terms(text or "") if machine.column[t] >= 0)
+    z = machine.bias + sum(machine.weight[t] for t in known)
+    for n, a in enumerate(known):
+        for b in known[:n]:
+            z += sum(machine.factor[a, f] * machine.factor[b, f] for f in range(T.FACTORS))
+    return 1 / (1 + math.exp(-min(max(z, -40), 40)))
+
+
+def test_toxicity_equals_its_twin(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    machine = T.train(*T.training_rows(docs, labels), steps=200)
+    assert len(machine.weight) and np.abs(machine.factor).max() > 0
+    rows = T.score(docs, machine).collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert r["score"] == pytest.approx(plain_toxicity(machine, r["text"]), abs=1e-9)
+
+
+def test_toxicity_sample_holds_the_telling_terms_of_whole_texts(spark):
+    texts = {k: " ".join([f"filler{k}"] * (4000 if k == 3 else 3) + (["insult"] if k % 4 == 0 else ["thanks"])) for k in range(200)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 4 == 0).cast("int").alias("label"))
+    labels = labels.unionByName(labels).unionByName(spark.createDataFrame([(None, 1), (1, None), (999, 0)], labels.schema))
+    rows, y, share = T.training_rows(docs, labels)
+    n, pos = {}, {}
+    for k, text in texts.items():
+        for t in plain_terms(text):
+            n[t], pos[t] = n.get(t, 0) + 1, pos.get(t, 0) + (k % 4 == 0)
+    told = {t for t in n if T.telling(np.array([n[t]]), np.array([pos[t]]), 200, 0.25)[0]}
+    want = sorted((int(k % 4 == 0), tuple(sorted(plain_terms(x) & told))) for k, x in texts.items())
+    assert told and sorted(zip(y.tolist(), map(tuple, (r.tolist() for r in rows)))) == want
+    assert share == pytest.approx(100 / 401)
+    few = [T.training_rows(docs.repartition(p), labels.repartition(p), rows=20) for p in (2, 7)]
+    assert np.bincount(few[0][1]).max() <= 20 and all((a == b).all() for a, b in zip(few[0][0], few[1][0]))
+
+
+def test_more_terms_than_the_former_bound_are_kept():
+    """20,000 words, each of one label alone."""
+    rows = [np.arange(k % 10 * 2000, (k % 10 + 1) * 2000) for k in range(400)]
+    machine = T.train(rows, np.array([int(k % 10 < 5) for k in range(400)]), 0.5, steps=4)
+    assert len(machine.weight) == 20_000
+
+
+def test_mixing_regression_equals_its_twin(spark):
+    rng = np.random.default_rng(3)
+    domains, rows = ["a", "b", "c"], []
+    for k in range(150):
+        d = int(rng.integers(3))
+        rows.append((k, domains[d], sorted({int(t) for t in rng.integers(0, 40, 6)} | {100 + d} | ({110 + d} if k % 2 else set()))))
+    taught = spark.createDataFrame(rows, "doc_id long, domain string, present array<int>")
+    buckets, weights = M.learn(taught, domains)
+
+    size = {d: sum(r[1] == d for r in rows) for d in domains}
+    kept = [-1]
+    for t in sorted({t for r in rows for t in r[2]}):
+        n = sum(t in r[2] for r in rows)
+        best = 0.0
+        for d in domains:
+            p = size[d] / len(rows)
+            off = sum(t in r[2] and r[1] == d for r in rows) - n * p
+            best = max(best, off * off / max(n * p * (1 - p) * (len(rows) - n) / len(rows), 1e-9))
+        if n >= M.LEAST_DOCS and best >= M.LEAST_CHI2:
+            kept.append(t)
+    assert buckets == kept and {100, 101, 102} <= set(kept)
+    has = [[i for i, t in enumerate(kept) if t == -1 or t in r[2]] for r in rows]
+    w, squares = [[0.0] * len(kept) for _ in domains], [[1e-8] * len(kept) for _ in domains]
+    for _ in range(M.TURNS):
+        grads = [[0.0] * len(kept) for _ in domains]
+        for r, mine in zip(rows, has):
+            p = softmax([sum(w[k][i] for i in mine) for k in range(3)])
+            for k, d in enumerate(domains):
+                for i in mine:
+                    grads[k][i] += p[k] - (r[1] == d)
+        for k in range(3):
+            for i in range(len(kept)):
+                g = grads[k][i] / len(rows) + M.DECAY * w[k][i]
+                squares[k][i] += g * g
+                w[k][i] -= M.PACE * g / math.sqrt(squares[k][i])
+    assert np.allclose(weights, w, atol=1e-6)
+
+
+def test_unsettled_rates_are_reported(spark, caplog):
+    members = spark.createDataFrame([(k, k, 10, 1, 0.9 - 0.1 * (k % 3), 0.1 + 0.1 * (k % 3)) for k in range(50)],
+                                    "doc_id long, text_hash long, tokens int, copies long, p0 double, p1 double")
+    with caplog.at_level(logging.WARNING):
+        M.fit_rates(members, [0.3, 0.7], steps=1)
+    assert "misses its target" in caplog.text
+    with pytest.raises(RuntimeError):
+        M.fit_rates(members, [0.3, 0.7], steps=1, fail_over=0.001)
+    caplog.clear()
+    M.fit_rates(members, [0.75, 0.25], fail_over=0.001)
+    assert not caplog.text
