@@ -107,8 +107,10 @@ def learn(taught: DataFrame, domains: list[str]) -> tuple[list[int], list[list[f
                    .groupBy("doc_id", "domain").agg(F.collect_list("i").alias("has")), "mixing-taught")
     total, squares = sum(size.values()), [[1e-8] * len(buckets) for _ in domains]
     for _ in range(TURNS):
-        z = [summed("has", numbers(w)) for w in weights]
-        scored = texts.select("domain", "has", *[v.alias(f"z{k}") for k, v in enumerate(z)])
+        # as a table of one row: plans, which the driver keeps as text, then do not spell the weights out
+        now = taught.sparkSession.createDataFrame([tuple(weights)], ", ".join(f"w{k} array<double>" for k in range(len(domains))))
+        held = texts.select("domain", "has", now.select(F.struct("*")).scalar().alias("w"))
+        scored = held.select("domain", "has", *[summed("has", F.col("w")[f"w{k}"]).alias(f"z{k}") for k in range(len(domains))])
         p = softmax([F.col(f"z{k}") for k in range(len(domains))])
         off = scored.select("has", *[(v - (F.col("domain") == d).cast("double")).alias(f"g{k}")
                                      for k, (v, d) in enumerate(zip(p, domains))])
