@@ -108,7 +108,7 @@ def learn(taught: DataFrame, domains: list[str]) -> tuple[list[int], list[list[f
     total, squares = sum(size.values()), [[1e-8] * len(buckets) for _ in domains]
     for _ in range(TURNS):
         # as a table of one row: plans, which the driver keeps as text, then do not spell the weights out
-        now = taught.sparkSession.createDataFrame([tuple(weights)], ", ".join(f"w{k} array<double>" for k in range(len(domains))))
+        now = stored(taught.sparkSession.range(1).select(*[numbers(w).alias(f"w{k}") for k, w in enumerate(weights)]), "mixing-weights")
         held = texts.select("domain", "has", now.select(F.struct("*")).scalar().alias("w"))
         scored = held.select("domain", "has", *[summed("has", F.col("w")[f"w{k}"]).alias(f"z{k}") for k in range(len(domains))])
         p = softmax([F.col(f"z{k}") for k in range(len(domains))])
