@@ -64,9 +64,9 @@ def sample_labels(labelled: DataFrame, domains: list[str], rows: int) -> tuple[D
     return known.where(draw < odds[F.col("domain")]), counts
 
 
-def telling(present: DataFrame, domains: list[str], size: dict[str, int]) -> list[int]:
-    """Buckets of ``(domain, bucket)``, a row for each text that has it, that
-    tell domains apart."""
+def telling(present: DataFrame, domains: list[str], size: dict[str, int]) -> DataFrame:
+    """The buckets of ``(domain, bucket)``, a row for each text that has it,
+    that tell domains apart."""
     total = max(1, sum(size.values()))
     counts = present.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum((F.col("domain") == d).cast("long")).alias(f"n{k}") for k, d in enumerate(domains)])
@@ -78,12 +78,7 @@ def telling(present: DataFrame, domains: list[str], size: dict[str, int]) -> lis
         chi2.append(off * off / F.greatest(expected * (1 - p) * (total - F.col("n")) / total, F.lit(1e-9)))
     told = counts.withColumn("chi2", F.greatest(*chi2) if domains else chi2[0]).where(
         (F.col("n") >= LEAST_DOCS) & (F.col("chi2") >= LEAST_CHI2))
-    return sorted(r["bucket"] for r in told.select("bucket").collect())      # at most BUCKETS
-
-
-def numbers(values):
-    """An array constant of the plan from one string, however long."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+    return told.select("bucket")
 
 
 def summed(places: str, values):
@@ -91,37 +86,51 @@ def summed(places: str, values):
     return F.aggregate(places, F.lit(0.0), lambda s, i: s + F.get(values, i))
 
 
-def learn(taught: DataFrame, domains: list[str]) -> tuple[list[int], list[list[float]]]:
-    """Buckets, -1 (which every text has) first, and a weight of each for each
-    domain, from ``(doc_id, domain, present)``."""
+def fitted(taught: DataFrame, domains: list[str]) -> DataFrame:
+    """``(bucket, l0, l1, ...)``: bucket -1, which every text has, and the
+    telling ones, with a weight for each domain, from ``(doc_id, domain,
+    present)``.
+
+    Weights stay a table of at most BUCKETS + 1 rows: a turn reads it as one
+    row of arrays, adds the gradients of all texts up by bucket, and writes the
+    next one, so neither the driver nor a plan holds them.
+    """
+    labels = range(len(domains))
     size = {r["domain"]: r["n"] for r in taught.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = taught.select("doc_id", "domain", F.explode("present").alias("bucket"))
-    buckets = [-1, *telling(rows, domains, size)]
-    weights = [[0.0] * len(buckets) for _ in domains]
+    state = stored(telling(rows, domains, size).agg(F.sort_array(F.collect_list("bucket")).alias("b"))
+                   .select(F.posexplode(F.concat(F.array(F.lit(-1)), F.col("b"))).alias("i", "bucket"))
+                   .select("i", "bucket", *[F.lit(0.0).alias(f"l{k}") for k in labels],
+                           *[F.lit(1e-8).alias(f"s{k}") for k in labels]), "mixing-weights")
+    weights = [f"l{k}" for k in labels]
     if not size:
-        return buckets, weights
-    place = taught.sparkSession.range(1).select(
-        F.posexplode(F.split(F.lit(",".join(map(str, buckets))), ",").cast("array<int>")).alias("i", "bucket"))
+        return state.select("bucket", *weights)
     texts = stored(taught.select("doc_id", "domain", F.explode(F.concat(F.array(F.lit(-1)), F.col("present"))).alias("bucket"))
-                   .join(F.broadcast(place), "bucket")      # at most BUCKETS + 1 rows
+                   .join(F.broadcast(state.select("i", "bucket")), "bucket")      # at most BUCKETS + 1 rows
                    .groupBy("doc_id", "domain").agg(F.collect_list("i").alias("has")), "mixing-taught")
-    total, squares = sum(size.values()), [[1e-8] * len(buckets) for _ in domains]
+    total = sum(size.values())
     for _ in range(TURNS):
-        # as a table of one row: plans, which the driver keeps as text, then do not spell the weights out
-        now = stored(taught.sparkSession.range(1).select(*[numbers(w).alias(f"w{k}") for k, w in enumerate(weights)]), "mixing-weights")
-        held = texts.select("domain", "has", now.select(F.struct("*")).scalar().alias("w"))
-        scored = held.select("domain", "has", *[summed("has", F.col("w")[f"w{k}"]).alias(f"z{k}") for k in range(len(domains))])
-        p = softmax([F.col(f"z{k}") for k in range(len(domains))])
-        off = scored.select("has", *[(v - (F.col("domain") == d).cast("double")).alias(f"g{k}")
-                                     for k, (v, d) in enumerate(zip(p, domains))])
-        sums = off.select(F.explode("has").alias("i"), *[f"g{k}" for k in range(len(domains))]).groupBy("i").agg(
-            *[F.sum(f"g{k}").alias(f"g{k}") for k in range(len(domains))]).collect()      # one row a bucket
-        for r in sums:
-            for k in range(len(domains)):
-                g = r[f"g{k}"] / total + DECAY * weights[k][r["i"]]
-                squares[k][r["i"]] += g * g
-                weights[k][r["i"]] -= PACE * g / math.sqrt(squares[k][r["i"]])
-    return buckets, weights
+        listed = state.agg(F.sort_array(F.collect_list(F.struct("i", *weights))).alias("w"))
+        now = listed.select(F.struct(*[F.col(f"w.{c}").alias(c) for c in weights]))
+        held = texts.select("domain", "has", now.scalar().alias("w"))
+        scored = held.select("domain", "has", *[summed("has", F.col("w")[c]).alias(f"z{k}") for k, c in enumerate(weights)])
+        p = softmax([F.col(f"z{k}") for k in labels])
+        off = scored.select(F.explode("has").alias("i"), *[(v - (F.col("domain") == d).cast("double")).alias(f"g{k}")
+                                                          for k, (v, d) in enumerate(zip(p, domains))])
+        sums = off.groupBy("i").agg(*[(F.sum(f"g{k}") / total).alias(f"g{k}") for k in labels])
+        slope = [F.coalesce(f"g{k}", F.lit(0.0)) + DECAY * F.col(f"l{k}") for k in labels]
+        moved = state.join(sums, "i", "left").select("i", "bucket", *weights, *[g.alias(f"g{k}") for k, g in enumerate(slope)],
+                                             *[(F.col(f"s{k}") + g * g).alias(f"s{k}") for k, g in enumerate(slope)])
+        state = stored(moved.select("i", "bucket", *[(F.col(f"l{k}") - PACE * F.col(f"g{k}") / F.sqrt(f"s{k}")).alias(f"l{k}") for k in labels],
+                                    *[f"s{k}" for k in labels]), "mixing-weights")
+    return state.select("bucket", *weights)
+
+
+def learn(taught: DataFrame, domains: list[str]) -> tuple[list[int], list[list[float]]]:
+    """What ``fitted`` finds as lists: buckets, and their weights for each
+    domain, at most BUCKETS + 1 of them."""
+    found = fitted(taught, domains).orderBy("bucket").collect()
+    return [r["bucket"] for r in found], [[r[f"l{k}"] for r in found] for k in range(len(domains))]
 
 
 def softmax(z: list) -> list:
@@ -153,10 +162,7 @@ def memberships(docs: DataFrame, labelled: DataFrame, domains: list[str], rows:
     sample, counts = sample_labels(labelled, domains, rows)
     taught = stored(docs.where("doc_id IS NOT NULL").join(F.broadcast(sample), "doc_id")    # at most rows x domains
                     .select("doc_id", "domain", _present(_tokens(F.col("text"))).alias("present")), "mixing-sample")
-    buckets, weights = learn(taught, domains)
-    table = docs.sparkSession.range(1).select(F.posexplode(F.arrays_zip(
-        numbers(buckets).cast("array<int>").alias("bucket"), *[numbers(w).alias(f"l{k}") for k, w in enumerate(weights)]))
-        .alias("i", "r")).select("r.*")
+    table = fitted(taught, domains)
     # from the sample's shares to those of all labelled rows
     total = sum(counts.values())
     shift = [math.log((counts.get(d, 0) + 1) / (total + n)) - math.log((min(counts.get(d, 0), rows) + 1)) for d in domains]
